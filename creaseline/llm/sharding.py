@@ -16,10 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creaseline.llm.common import BUCKETS_PER_PARTITION, materialise, number_within, partitions
+from creaseline.llm.common import materialise, number_within
 
 SHARDS = 16
 LARGE_SHARE = 64
+#: A bucket has about this many groups: enough for even shards, few enough for one heap.
+BUCKET_GROUPS = 4000
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 1
 
@@ -77,7 +79,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     near equal, as far as the largest group allows; so grown_shard is null.  Needs doc_id and text; other columns
     are ignored.  An empty table gives no row.
     """
-    spark = docs.sparkSession
     text = F.col("text").cast("binary")
     sized = docs.select(
         F.col("doc_id").cast("long"),
@@ -87,7 +88,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
     sized = materialise(sized, "sizes")
     groups = materialise(sized.groupBy("group").agg(F.sum("size").alias("bytes")), "groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    number, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     limit = max(1.0, total / shards / LARGE_SHARE)
     large = groups.where(F.col("bytes") >= limit)
     # shards * LARGE_SHARE rows at most.
@@ -98,7 +99,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     loads = {r["shard"]: r["b"] for r in placed.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
     loads = [loads.get(s, 0) for s in range(shards)]
     quota = room(loads, total - sum(loads))
-    buckets = BUCKETS_PER_PARTITION * partitions(spark)
+    buckets = -(-number // BUCKET_GROUPS) or 1
     small = (
         groups.where(F.col("bytes") < limit)
         .withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
