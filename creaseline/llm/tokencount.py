@@ -1,6 +1,6 @@
 """Token counts of documents in flat token files without an index, by separator scan.
 
-A flat file is one run of token ids (little-endian unsigned 32-bit); an end-of-document id closes each document.
+A flat file is one run of token ids (little-endian unsigned 16-bit, which a vocabulary below 65,536 allows); an end-of-document id closes each document.
 The scan cuts a file into blocks and searches each block for separators with vectorised comparisons, whatever
 documents begin or end there.  A block yields its segments: token runs that a separator or the block's end closes.
 A prefix sum of closed segments over a file's blocks then numbers the documents, and segments with one number,
@@ -22,6 +22,8 @@ from creaseline.llm.packing import encoder, tokenizer_files
 
 #: ``<|endoftext|>`` of the public 50k byte-level BPE; no ordinary text has this id.
 END_OF_DOCUMENT = 50256
+#: Type of an id in a file.
+ID = "<u2"
 BLOCK_TOKENS = 1 << 16
 #: A file holds this many documents at most, so that no reader meets a file it can't hold.
 FILE_ROWS = 4096
@@ -34,7 +36,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         texts = batch.column("text").fill_null("")
         for start, end in runs_by_bytes(pc.binary_length(texts).to_numpy(), 1 << 22):
-            ids = [np.array(encode(t), "<u4").tobytes() for t in texts.slice(start, end - start).to_pylist()]
+            ids = [np.array(encode(t), ID).tobytes() for t in texts.slice(start, end - start).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(start, end - start), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )
@@ -46,11 +48,11 @@ def token_ids(docs: DataFrame) -> DataFrame:
 
 
 def write_token_files(ids: DataFrame, path: str, separator: int = END_OF_DOCUMENT) -> None:
-    """Writes flat token files with Spark's text writer, whose line separator is the separator's four bytes."""
+    """Writes flat token files with Spark's text writer, whose line separator is the separator's bytes."""
     (
         ids.select(F.col("ids").cast("string"))
         .write.option("encoding", "ISO-8859-1")
-        .option("lineSep", separator.to_bytes(4, "little").decode("latin-1"))
+        .option("lineSep", separator.to_bytes(np.dtype(ID).itemsize, "little").decode("latin-1"))
         .option("maxRecordsPerFile", FILE_ROWS)
         .text(path)
     )
@@ -73,7 +75,7 @@ def _scan_batches(separator: int, block_tokens: int):
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 data = content.as_buffer()
-                tokens = np.frombuffer(data, "<u4", count=data.size // 4)
+                tokens = np.frombuffer(data, ID, count=data.size // np.dtype(ID).itemsize)
                 for block, start in enumerate(range(0, len(tokens), block_tokens)):
                     lengths, closed = scan_block(tokens[start : start + block_tokens], separator)
                     n = len(lengths)
