@@ -93,7 +93,7 @@ def error_reason() -> Column:
     missing = lambda *names: F.greatest(*[F.col(f"e.{n}").isNull() for n in names])
     runs = F.col("e.payload.runs")
     broken = [
-        ("malformed_json", F.try_parse_json("raw_value").isNull()),
+        ("malformed_json", F.col("_broken")),
         ("unsupported_schema_version", ~F.col("e.schema_version").eqNullSafe(F.lit(SCHEMA_VERSION))),
         ("missing_required_field", missing("event_id", "match_id", "event_type", "event_time")),
         ("unknown_event_type", ~F.col("e.event_type").isin(STARTED, BALL, COMPLETED)),
@@ -105,11 +105,16 @@ def error_reason() -> Column:
 
 
 def parse(feed: DataFrame) -> DataFrame:
-    """Feed rows with the parsed event ``e`` and ``error_reason``; bad JSON parses to nulls, never to an error."""
+    """Feed rows with the parsed event ``e`` and ``error_reason``; bad JSON parses to nulls, never to an error.
+
+    The parsed event comes out of a generator, so that no rule or filter above it is pushed into a second parse.
+    """
     place = [F.col(c).alias(f"kafka_{c}") for c in ("topic", "partition", "offset", "timestamp")]
     rows = feed.select(F.col("key").cast("string").alias("kafka_key"), F.col("value").cast("string").alias("raw_value"), *place)
-    parsed = rows.withColumn("e", F.from_json("raw_value", ENVELOPE, {"mode": "PERMISSIVE"}))
-    return parsed.withColumn("error_reason", error_reason())
+    event = F.from_json("raw_value", ENVELOPE, {"mode": "PERMISSIVE"})
+    read = F.struct(event.alias("e"), F.try_parse_json("raw_value").isNull().alias("_broken"))
+    parsed = rows.select("*", F.inline(F.array(read)))
+    return parsed.withColumn("error_reason", error_reason()).drop("_broken")
 
 
 _PLACE = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"]
