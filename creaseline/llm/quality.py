@@ -37,8 +37,8 @@ def rules() -> list[Rule]:
     return [
         Rule("symbols", F.col("n_symbols") * 5 > words),
         Rule("word_length", (chars > 25 * words) | (chars < 2 * words)),
-        Rule("repeated_words", F.col("n_repeat_words") * 5 > words),
-        Rule("repeated_lines", F.col("n_dup_lines") * 10 > 3 * F.size(F.split(text, "\n"))),
+        Rule("repeated_words", F.col("n_repeat_words") * 20 > 9 * words),
+        Rule("repeated_lines", F.col("n_dup_lines") * 10 > 6 * F.size(F.split(text, "\n"))),
         Rule("exclamations", F.regexp_count(text, F.lit("!")) * 5 > words),
         Rule("capitals", F.regexp_count(text, F.lit(r"\p{Lu}")) * 10 > 4 * chars),
         Rule("digits", F.regexp_count(text, F.lit("[0-9]")) * 10 > 3 * chars),
