@@ -17,8 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creaseline.llm.common import runs_by_bytes, scratch_path
+from creaseline.llm.common import runs_by_bytes
 from creaseline.llm.packing import encoder, tokenizer_files
+from creaseline.sources.scratch import scratch_path
 
 #: ``<|endoftext|>`` of the public 50k byte-level BPE; no ordinary text has this id.
 END_OF_DOCUMENT = 50256

@@ -1,0 +1,560 @@
+"""Corpus operators against brute force, exact round trips, held-out accuracy, and odd inputs."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import corpus_pipeline
+from creaseline.llm import chat, components, embeddings, langid, mixing, packing, quality, sharding, simhash, tokencount, toxicity
+from creaseline.llm.common import number_within, read
+from creaseline.llm.queries import PROBE_ID, QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Null, empty, blank, one word, repeats, control strings, long words, and columns whose names clash with our own.
+TEXTS = [
+    None, "", " \t\n\v\f\r ", "one", "two words", "a b c", "A B C", "a b c a b c a b c", r"\### Assistant: </turn> ok <|end|> \l \b \\", "é ñ 漢字 🎈 x",
+    "#" * 300, "x" * 5000, "w " * 3000, "line one here\nline one here\n\nother", "a b c", "<|endoftext|> is text", "you are such an idiot, clown!!",
+]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string, key string, node string, length string, count int"
+
+
+def odd_docs(spark):
+    rows = [(i, t, [None, "en", "fr"][i % 3], [None, "s1", "s2"][i % 3], 0, 1, "x", "y", "z", "l", 2) for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows + rows[5:7] + [(None, "no id", "en", "s1", 0, 1, "x", "y", "z", "l", 2)], DOCS)
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, small):
+    return read(spark, small, "documents").toPandas()
+
+
+def tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    loaded.encode_special_tokens = True
+    return loaded
+
+
+# ---------------------------------------------------------------- 1 chat
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "<|turn|>", ""]), st.text()), max_size=8))
+@settings(max_examples=80, deadline=None)
+def test_chat_round_trip(turns):
+    roles, texts = (pa.array([t[i] for t in turns], pa.string()) for i in (0, 1))
+    buffer, starts, at, length = chat.assemble(roles, texts)
+    whole = buffer.tobytes()
+    assert chat.parse(whole.decode()) == turns
+    masked = [whole[a : a + n].decode() for a, n in zip(at, length)]
+    assert chat.unescape(pa.array(masked, pa.string())).to_pylist() == [t for _, t in turns]
+    assert len(starts) == len(turns) + 1
+
+
+def brute_chat(rows):
+    turns = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in rows).encode()).hexdigest()
+    loss = "".join(t for r, t in rows if r == "assistant")
+    return len(rows), turns, len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_chat_query(spark, small):
+    got = {r.conv_id: r for r in QUERIES["op1_chat_format"](spark, small).collect()}
+    table = read(spark, small, "conversations").toPandas().sort_values(["conv_id", "turn"])
+    assert set(got) == {*table.conv_id, PROBE_ID}
+    for conv, g in table.groupby("conv_id"):
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == brute_chat(list(zip(g.role, g.text)))
+    probe = r"\### Assistant: </turn> ok"
+    assert got[PROBE_ID].turns_sha256 == brute_chat([("user", probe), ("assistant", probe)])[1]
+
+
+def test_chat_odd_turns_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK", 50)
+    rows = [(1, i, "assistant" if i % 2 else "user", t, "x") for i, t in enumerate(TEXTS)] + [(None, 0, None, None, "x"), (1, 3, "assistant", None, "x")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part string")
+    got = {r.conv_id: r for r in chat.chat_digests(chat.format_chats(frame)).collect()}
+    mine = sorted(((t, r or "", x or "") for c, t, r, x, _ in rows if c == 1), key=lambda r: r)
+    assert (got[1].n_turns, got[1].turns_sha256, got[1].loss_chars, got[1].loss_sha256) == brute_chat([(r, x) for _, r, x in mine])
+    assert got[None].n_turns == 1 and got[None].loss_chars == 0
+    assert chat.chat_digests(chat.format_chats(frame.limit(0))).count() == 0
+
+
+# ---------------------------------------------------------------- 2 packing
+@given(st.lists(st.integers(1, 30), max_size=200))
+@settings(max_examples=150, deadline=None)
+def test_plan_is_a_packing(lengths):
+    counts = collections.Counter(lengths)
+    bins, seen = collections.defaultdict(list), collections.Counter()
+    for length, low, high, per_bin, first, at in packing.plan_bins(dict(counts), 30):
+        assert low == seen[length]
+        seen[length] = high
+        for rank in range(high - low):
+            bins[first + rank // per_bin].append((at + rank % per_bin * length, length))
+    assert seen == counts and sorted(bins) == list(range(len(bins)))
+    for content in bins.values():
+        end = 0
+        for at, length in sorted(content):
+            assert at == end
+            end += length
+        assert end <= 30
+    assert len(bins) <= 1.25 * -(-sum(lengths) // 30) + 1 + sum(2 * n > 30 for n in lengths)
+
+
+def check_packing(rows, texts_by_doc):
+    encode = tokenizer()
+    by_doc = collections.defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+    for doc, texts in texts_by_doc.items():
+        expected = []
+        for text in texts:
+            ids = np.array([*encode.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+            for n, (at, size) in enumerate(packing.cut(len(ids), 1024)):
+                expected.append((n, at, size, zlib.crc32(ids[at : at + size].tobytes())))
+        assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in by_doc[doc]) == sorted(expected)
+    sequences = collections.defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for content in sequences.values():
+        end = 0
+        for at, length in sorted(content):
+            assert at == end
+            end += length
+        assert end <= 1024
+    return len(sequences)
+
+
+def test_packing_query(spark, small, docs):
+    rows = QUERIES["op2_best_fit_packing"](spark, small).collect()
+    sequences = check_packing(rows, {d: [t] for d, t in zip(docs.doc_id, docs.text)})
+    assert sequences <= 1.02 * sum(r.length for r in rows) / 1024 + 1
+
+
+def test_packing_odd_documents(spark):
+    frame, by_doc = odd_docs(spark), collections.defaultdict(list)
+    for r in frame.collect():
+        by_doc[r.doc_id].append(r.text)
+    check_packing(packing.packed_documents(frame).collect(), by_doc)
+    assert packing.packed_documents(no_docs(spark)).count() == 0
+
+
+# ---------------------------------------------------------------- 3 mixing
+def brute_period(parts, slots):
+    done, out = dict.fromkeys(parts, 0), []
+    for slot in range(slots):
+        ready = [(-(-(done[s] + 1) * slots // q), s) for s, q in parts.items() if done[s] < q and done[s] * slots // q <= slot]
+        chosen = min(ready)[1]
+        done[chosen] += 1
+        out.append(chosen)
+    return out
+
+
+def test_mixing_against_brute_force(spark):
+    sizes = {"a": 700, "b": 90, "c": 33, None: 5}
+    rows, n = [], 0
+    for source, size in sizes.items():
+        for _ in range(size):
+            rows.append((n, source))
+            n += 1
+    frame = spark.createDataFrame(rows, "doc_id long, source string").repartition(7)
+    weights = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 1.0), (None, 1.0), ("nobody", 0.0)], "source string, weight double")
+    parts = {r.source: r.parts for r in mixing.parts(weights, 50).collect()}
+    assert sum(parts.values()) == 50 and min(parts.values()) >= 1
+    named = {s or "": q for s, q in parts.items()}
+    schedule = sorted((r.slot, r.source or "") for r in mixing.period(mixing.parts(weights, 50), 50).collect())
+    assert [s for _, s in schedule] == brute_period(dict(sorted(named.items())), 50)
+    for end in range(1, 51):
+        for s, q in named.items():
+            assert abs(sum(x == s for _, x in schedule[:end]) - q * end / 50) < 1
+    mixed = mixing.mix(frame, weights, block_rows=4, slots=50, max_epochs=100).collect()
+    assert {r.doc_id for r in mixed} == set(range(n))
+    blocks = {(r._slot, r.source) for r in mixed}
+    assert len({slot for slot, _ in blocks}) == len(blocks) == max(slot for slot, _ in blocks) + 1
+    assert len({r._position for r in mixed}) == len(mixed)
+    in_order = [r.doc_id for r in mixing.in_order(mixing.mix(frame, weights, 4, 50, 100)).collect()]
+    assert in_order == [r.doc_id for r in sorted(mixed, key=lambda r: r._position)]
+    few = mixing.mix(frame, weights, block_rows=4, slots=50, max_epochs=2).collect()
+    assert max(r._epoch for r in few) <= 1 and {r.doc_id for r in few} == set(range(n))
+
+
+def test_mixing_query_and_odd_input(spark, small, docs):
+    rows = QUERIES["op3_source_mixing"](spark, small).collect()
+    assert {r.doc_id for r in rows} == set(docs.doc_id)
+    odd = odd_docs(spark)
+    got = collections.Counter((r.doc_id, r.text) for r in mixing.mix(odd).collect() if r._epoch == 0)
+    assert got == collections.Counter((r.doc_id, r.text) for r in odd.collect())
+    assert mixing.mix(no_docs(spark)).count() == 0
+    assert mixing.mix(odd).columns[: len(odd.columns)] == odd.columns
+
+
+def test_mixing_refuses_more_sources_than_slots(spark):
+    with pytest.raises(Exception, match="more sources than slots"):
+        mixing.parts(spark.range(9).selectExpr("cast(id as string) as source", "1.0D as weight"), 5).collect()
+
+
+# ---------------------------------------------------------------- 4 simhash
+def brute_fingerprint(text):
+    import xxhash
+
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(ids, linked):
+    least = list(range(len(ids)))
+
+    def find(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if linked(i, j):
+                least[find(i)] = find(j)
+    groups = collections.defaultdict(list)
+    for i in range(len(ids)):
+        groups[find(i)].append(ids[i])
+    return {x: min(g) for g in groups.values() for x in g}
+
+
+def test_simhash_query(spark, small, docs):
+    rows = QUERIES["op4_simhash"](spark, small).collect()
+    prints = {d: brute_fingerprint(t) for d, t in zip(docs.doc_id, docs.text)}
+    assert {r.doc_id: r.fingerprint for r in rows} == {d: f"{f:016x}" for d, f in prints.items()}
+    ids = sorted(prints)
+    expected = brute_components(ids, lambda i, j: (prints[ids[i]] ^ prints[ids[j]]).bit_count() <= 3)
+    assert {r.doc_id: r.component_id for r in rows} == expected
+
+
+def test_close_pairs_lose_none(spark):
+    random.seed(5)
+    values = {0, 2**64 - 1}
+    for _ in range(60):
+        base = random.getrandbits(64)
+        values.add(base)
+        for bits in (1, 2, 3, 4):
+            values.add(base ^ sum(1 << b for b in random.sample(range(64), bits)))
+    signed = [v - 2**64 if v >= 2**63 else v for v in values]
+    got = {(r.a, r.b) for r in simhash.close_pairs(spark.createDataFrame([(v,) for v in signed], "fingerprint long")).collect()}
+    expected = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
+    assert got == expected
+
+
+def test_simhash_odd_documents(spark):
+    frame = odd_docs(spark).where("doc_id is not null")
+    rows = simhash.near_duplicates(frame).collect()
+    assert len(rows) == frame.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[0].fingerprint == "0" * 16 and by_id[2].component_id == 0
+    assert by_id[5].component_id == by_id[6].component_id == by_id[14].component_id
+    assert simhash.near_duplicates(no_docs(spark)).count() == 0
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.range(200).selectExpr("(id * 7919) % 1009 as a", "((id + 1) * 7919) % 1009 as b")
+    got = components.connected_components(links).collect()
+    assert len(got) == 201 and {r.component for r in got} == {min(r.id for r in got)}
+
+
+# ---------------------------------------------------------------- 5 quality
+def brute_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    count, covered = collections.Counter(windows), set()
+    for i, w in enumerate(windows):
+        if count[w] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    n = len(words)
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), n < 50 or 100 * len(covered) > 50 * n
+
+
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_quality_query(spark, small, docs):
+    rows = QUERIES["op5_quality_rules"](spark, small).collect()
+    texts = dict(zip(docs.doc_id, docs.text))
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        assert tuple(r[c] for c in COLUMNS) == brute_base(texts[r.doc_id])
+    labels = {r.doc_id: r.quality for r in read(spark, small, "labels").collect()}
+    judged = [(labels[r.doc_id], r.kept) for r in rows if r.doc_id in labels and not r.base_failed]
+    assert all(kept for good, kept in judged if good == 1)
+    assert not any(kept for good, kept in judged if good == 0)
+
+
+def test_quality_odd_documents_and_order(spark):
+    frame = odd_docs(spark)
+    got = sorted(tuple(r[c] for c in COLUMNS) for r in quality.assess(frame).collect())
+    assert got == sorted(brute_base(r.text) for r in frame.collect())
+    assert quality.assess(no_docs(spark)).count() == 0
+    back = quality.assess(frame, quality.rules()[::-1]).select("doc_id", "kept")
+    assert sorted(map(str, back.collect())) == sorted(map(str, quality.assess(frame).select("doc_id", "kept").collect()))
+
+
+def test_quality_plan_is_native(spark):
+    plan = quality.assess(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+# ---------------------------------------------------------------- 6 token counts
+@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
+@settings(max_examples=150, deadline=None)
+def test_blocks_stitch(tokens, block):
+    stream, lengths, ordinal = np.array(tokens, np.uint16), collections.Counter(), 0
+    for at in range(0, len(stream), block):
+        for size, closed in zip(*tokencount.scan_block(stream[at : at + block], 0)):
+            lengths[ordinal] += int(size)
+            ordinal += int(closed)
+    text = "".join("," if t == 0 else "x" for t in tokens).split(",")
+    assert [lengths[i] for i in range(ordinal + (ordinal in lengths))] == list(map(len, text if text[-1] else text[:-1]))
+
+
+@pytest.mark.parametrize("block", [3, 1 << 16])
+def test_token_counts(spark, small, docs, block):
+    encode = tokenizer()
+    counted = tokencount.count_document_tokens(read(spark, small, "documents"), block).collect()
+    expected = sorted(len(e.ids) for e in encode.encode_batch(docs.text.tolist(), add_special_tokens=False))
+    assert sorted(r.n_tokens for r in counted) == expected and all(r.closed for r in counted)
+    odd = odd_docs(spark)
+    got = sorted(r.n_tokens for r in tokencount.count_document_tokens(odd, block).collect())
+    assert got == sorted(len(encode.encode(r.text or "", add_special_tokens=False).ids) for r in odd.collect())
+    assert tokencount.count_document_tokens(no_docs(spark)).count() == 0
+
+
+def test_open_rest_of_a_file(spark, tmp_path):
+    np.array([5, 6, tokencount.END_OF_DOCUMENT, tokencount.END_OF_DOCUMENT, 7], "<u2").tofile(tmp_path / "part-0")
+    rows = sorted(tokencount.count_tokens(spark, str(tmp_path), block_tokens=2).collect(), key=lambda r: r.ordinal)
+    assert [(r.ordinal, r.n_tokens, r.closed) for r in rows] == [(0, 2, True), (1, 0, True), (2, 1, False)]
+
+
+# ---------------------------------------------------------------- 7 language
+def test_language_query(spark, small, docs):
+    rows = QUERIES["op7_language_id"](spark, small).collect()
+    assert {r.doc_id: r.held_out for r in rows} == {d: zlib.crc32(str(d).encode()) % 4 == 2 for d in docs.doc_id}
+    lang = dict(zip(docs.doc_id, docs.lang))
+    held = [r.lang_pred == lang[r.doc_id] for r in rows if r.held_out]
+    assert sum(held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_uses_the_text_alone(spark):
+    model = langid.train(["the cat and the dog", "le chat et le chien"] * 20, ["en", "fr"] * 20)
+    frame = odd_docs(spark)
+    shuffled = frame.selectExpr("doc_id + 1000 as doc_id", "text", "'zz' as lang", "'q' as source")
+    a = [r._language for r in langid.languages(frame, model).orderBy("doc_id").collect()]
+    b = [r._language for r in langid.languages(shuffled, model).orderBy("doc_id").collect()]
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    by_id = {r.doc_id: r._language for r in langid.languages(frame, model).collect()}
+    assert all(by_id[i].lang == "und" and by_id[i].rejected and by_id[i].score == 0 for i in (0, 1, 2, 10))
+    assert all(r.lang_pred == "und" for r in langid.identify(frame.withColumn("lang", frame.key.substr(9, 1)).where("doc_id < 3")).collect() if r.doc_id == 0)
+    assert langid.identify(no_docs(spark)).count() == 0
+
+
+# ---------------------------------------------------------------- 8 embeddings
+def brute_links(vectors, least=0.9):
+    usable = {k: np.array(v, float) for k, v in vectors.items() if v and None not in v and np.isfinite(v).all() and np.any(v)}
+    links = collections.defaultdict(set)
+    for a in usable:
+        for b in usable:
+            if a < b and len(usable[a]) == len(usable[b]):
+                x, y = usable[a], usable[b]
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= least:
+                    links[a].add(b)
+                    links[b].add(a)
+    return links
+
+
+def test_embeddings_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    random_ = np.random.default_rng(2)
+    centers = random_.normal(size=(12, 24))
+    rows = {i: (centers[i % 12] + random_.normal(size=24) * (0.12 if i % 3 else 0.45)).tolist() for i in range(240)}
+    rows |= {300 + i: rows[0] for i in range(40)}
+    rows |= {400: None, 401: [], 402: [0.0] * 24, 403: [float("nan")] * 24, 404: [float("inf")] + [0.0] * 23, 405: [1.0, None] + [0.0] * 22, 406: [1.0, 2.0], 407: [2.0, 4.0]}
+    frame = spark.createDataFrame([(k, v, 1, "x") for k, v in rows.items()], "vec_id long, embedding array<double>, label int, keys string")
+    got = {r.vec_id: r for r in embeddings.near_duplicate_vectors(frame).collect()}
+    links = brute_links(rows)
+    assert set(got) == set(rows)
+    total = sum(map(len, links.values()))
+    assert 0.9 * total <= sum(r.n_links for r in got.values()) <= total
+    assert all(got[k].n_links <= len(links[k]) for k in rows)
+    ids = sorted(rows)
+    expected = brute_components(ids, lambda i, j: ids[j] in links[ids[i]])
+    assert np.mean([got[k].component_id == expected[k] for k in ids]) > 0.95
+    assert all(got[k].kept == (got[k].component_id == k) for k in ids)
+    assert all(got[k].n_links == 0 and got[k].kept for k in (400, 401, 402, 403, 404, 405))
+    assert embeddings.near_duplicate_vectors(frame.limit(0)).count() == 0
+
+
+def test_hashing_recall_at_the_threshold():
+    random_ = np.random.default_rng(3)
+    x = random_.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = random_.normal(size=(1500, 64))
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z
+    a, b = (embeddings.bucket_keys(v, embeddings.TABLES, embeddings.FUNCTIONS, embeddings.PROBES) for v in (x, y))
+    assert (a[:, :, None] == b[:, None, :]).any((1, 2)).mean() >= 0.95
+
+
+def test_embeddings_query(spark, small):
+    rows = QUERIES["op8_embedding_dedup"](spark, small).collect()
+    vectors = {r.vec_id: list(r.embedding) for r in read(spark, small, "embeddings").collect()}
+    links = brute_links(vectors)
+    assert {r.vec_id for r in rows} == set(vectors)
+    assert sum(r.n_links for r in rows) >= 0.9 * sum(map(len, links.values()))
+    assert all(r.n_links <= len(links[r.vec_id]) for r in rows)
+
+
+# ---------------------------------------------------------------- 9 toxicity
+def test_toxicity_held_out(spark):
+    random_ = random.Random(4)
+    filler = ["river", "stone", "paper", "window", "garden", "music", "travel", "the", "and", "of"]
+    rows, marks = [], []
+    for i in range(1500):
+        words = [random_.choice(filler) for _ in range(random_.randint(5, 60))]
+        bad = i % 7 == 0
+        if bad:
+            for _ in range(3):
+                words.insert(random_.randrange(len(words)), random_.choice(["grobling", "snarfed", "youzzle"]))
+        rows.append((i, " ".join(words), "en", "s"))
+        marks.append((i, int(bad), 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
+    got = [r for r in toxicity.detect(docs, labels).collect() if r.held_out]
+    assert np.mean([r.predicted == int(r.doc_id % 7 == 0) for r in got]) > 0.97
+    assert all((r.score >= 0.5) == bool(r.predicted) and 0 <= r.score <= 1 for r in got)
+    assert {r.doc_id for r in got} == {i for i in range(1500) if zlib.crc32(str(i).encode()) % 5 == 0}
+    model = toxicity.fit(docs, labels)
+    odd = odd_docs(spark)
+    scored = toxicity.score(odd, model)
+    assert scored.columns[:-1] == odd.columns and scored.count() == odd.count()
+    assert scored.where("_toxicity is null").count() == 0
+    assert toxicity.score(no_docs(spark), model).count() == 0
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.detect(odd_docs(spark), none).collect()} == {0.0}
+    assert toxicity.detect(no_docs(spark), none).count() == 0
+
+
+def test_toxicity_features_see_through_disguise():
+    assert toxicity.revealed("1d10t") == "idiot" and toxicity.revealed("s-c.u_m") == "scum"
+    values = dict(zip(toxicity.FEATURES, toxicity.features("You IDIOT!! an 1d10t", {"idiot": 2.0}, {})))
+    assert (values["lexicon_hits"], values["obfuscated_hits"], values["hits_near_second_person"]) == (1.0, 1.0, 1.0)
+    assert len(toxicity.features("", {}, {})) == len(toxicity.FEATURES)
+
+
+# ---------------------------------------------------------------- 10 sharding
+def check_shards(rows, texts):
+    shards, slots = collections.defaultdict(set), collections.defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    for text, group in texts.items():
+        shards[text] = {r.shard for r in rows if r.doc_id in group}
+        assert len(shards[text]) == 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(slots) <= set(range(16))
+
+
+def test_sharding_query(spark, small, docs):
+    rows = QUERIES["op10_sharding"](spark, small).collect()
+    texts = collections.defaultdict(set)
+    for d, t in zip(docs.doc_id, docs.text):
+        texts[t].add(d)
+    check_shards(rows, texts)
+    by_id = dict(zip(docs.doc_id, docs.text))
+    assert all(r.size == len(by_id[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(by_id[r.doc_id].encode()) for r in rows)
+    load = collections.Counter()
+    for r in rows:
+        load[r.shard] += r.size
+    largest = max(sum(len(t.encode()) + 1 for _ in g) for t, g in texts.items())
+    assert max(load.values()) - min(load.values()) <= largest
+
+
+def test_sharding_large_group_and_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_GROUPS", 50)
+    random_ = random.Random(1)
+    rows = [(i, "copy" * 20) for i in range(400)] + [(1000 + i, "x" * random_.randint(0, 90) + str(i)) for i in range(900)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    load = collections.Counter()
+    for r in got:
+        load[r.shard] += r.size
+    hot = next(r.shard for r in got if r.doc_id == 0)
+    others = [v for s, v in load.items() if s != hot]
+    assert len({r.shard for r in got if r.doc_id < 1000}) == 1
+    assert max(others) - min(others) < 0.15 * max(others)
+
+
+def test_sharding_odd_documents(spark):
+    frame = odd_docs(spark)
+    rows = sharding.shard_documents(frame).collect()
+    assert len(rows) == frame.count()
+    null = next(r for r in rows if r.doc_id == 0)
+    assert (null.size, null.text_crc32, null.law, null.grown_shard) == (1, 0, "bytes", None)
+    assert sharding.shard_documents(no_docs(spark)).count() == 0
+
+
+def test_longest_first_and_room():
+    assert sharding.longest_first([5, 4, 3, 3, 3], [0, 0]) == [0, 1, 1, 0, 1]
+    assert sharding.room([10, 0, 4], 6) == [0.0, 5.0, 1.0]
+
+
+# ---------------------------------------------------------------- shared and pipeline
+def test_numbers_within_groups(spark):
+    frame = spark.range(1000).selectExpr("id", "if(id % 3 = 0, null, id % 2) as g")
+    got = collections.defaultdict(list)
+    for r in number_within(frame, ["g"], ["id"], "n").collect():
+        got[r.g].append(r.n)
+    assert all(sorted(v) == list(range(len(v))) for v in got.values()) and len(got) == 3
+
+
+def test_pipeline_stages(spark, small, docs):
+    frame = read(spark, small, "documents")
+    labels = {r.doc_id: r.toxic for r in read(spark, small, "labels").collect()}
+    texts = dict(zip(docs.doc_id, docs.text))
+    kept = frame
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id for r in kept.select("doc_id").collect()}
+        out = stage(spark, kept, small).cache()
+        after = [r.doc_id for r in out.select("doc_id").collect()]
+        assert out.columns == frame.columns and set(after) <= before
+        gone = before - set(after)
+        if name == "toxicity":
+            assert sum(labels.get(d) == 0 for d in gone) <= 1
+        elif name == "language":
+            assert not any(re.search(r"[^\W\d_]", texts[d]) for d in gone)
+        elif name == "near_duplicates":
+            prints = {d: brute_fingerprint(texts[d]) for d in before}
+            ids = sorted(before)
+            groups = brute_components(ids, lambda i, j: (prints[ids[i]] ^ prints[ids[j]]).bit_count() <= 3)
+            assert set(after) == {d for d in ids if groups[d] == d} and len(after) == len(set(after))
+        else:
+            assert not gone
+        kept = out
+    rows = corpus_pipeline.STAGES[-1][1](spark, kept, small).collect()
+    by_doc = collections.defaultdict(list)
+    for r in kept.collect():
+        by_doc[r.doc_id].append(r.text)
+    check_packing(rows, by_doc)
