@@ -36,13 +36,15 @@ def partitions(spark: SparkSession) -> int:
 def number_within(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """Adds ``name``: 0, 1, 2, ... without gaps within each group, by a hash of ``order``, then ``order``.
 
-    Two levels: rows are numbered inside (group, hash bucket), and the pre-aggregated bucket counts give each
-    bucket its start.  No task holds a group.  ``order`` should tell the rows of a group apart; rows that it does
-    not tell apart are numbered in any order.
+    Two levels: rows are numbered inside (group, bucket), and the pre-aggregated bucket counts give each bucket its
+    start.  No task holds a group.  A bucket is a range of hashes, so the numbers are the same for any number of
+    buckets.  ``order`` should tell the rows of a group apart; rows that it does not tell apart are numbered in any
+    order.
     """
     buckets = BUCKETS_PER_PARTITION * partitions(df.sparkSession)
     mixed = F.xxhash64(*[F.col(c) for c in order])
-    rows = df.withColumn("_bucket", F.pmod(mixed, F.lit(buckets)).cast("int"))
+    high = F.shiftrightunsigned(mixed, 32)
+    rows = df.withColumn("_bucket", F.shiftright(high * buckets, 32).cast("int"))
     starts = (
         rows.groupBy(*group, "_bucket")
         .count()
@@ -57,7 +59,7 @@ def number_within(df: DataFrame, group: list[str], order: list[str], name: str)
         )
         .drop("count")
     )
-    inside = Window.partitionBy(*group, "_bucket").orderBy(F.xxhash64(*[F.col(c) for c in order]), *order)
+    inside = Window.partitionBy(*group, "_bucket").orderBy(high, mixed, *order)
     ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1)
     keys = [ranked[c].eqNullSafe(starts[c]) for c in [*group, "_bucket"]]
     joined = ranked.join(starts, keys, "left")

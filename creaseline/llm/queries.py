@@ -73,4 +73,38 @@ QUERIES = {
         op7_language_id, op8_embedding_dedup, op9_toxicity, op10_sharding,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES ({PROBE_ID}, 0, 'user', '{PROBE_TEXT}'), ({PROBE_ID}, 1, 'assistant', '{PROBE_TEXT}')),
+e AS (SELECT *, length(role) + length(text) + len(regexp_extract_all(role || text, '[\\<]')) + 24 AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op5_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_WORDS} AS words, string_split(text, chr(10)) AS lines FROM d),
+p AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS times
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM p, (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY doc_id),
+b AS (SELECT doc_id, text, len(lines) AS n_lines, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR n_symbols * 5 > n_words
+    OR word_chars > 25 * n_words OR word_chars < 2 * n_words OR n_repeat_words * 20 > 9 * n_words OR n_dup_lines * 10 > 6 * n_lines
+    OR len(regexp_extract_all(text, '!')) * 5 > n_words OR len(regexp_extract_all(text, '\p{{Lu}}')) * 10 > 4 * word_chars
+    OR len(regexp_extract_all(text, '[0-9]')) * 10 > 3 * word_chars) AS kept FROM f""",
+    # All pairs; the operator finds what hashing finds of them.
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id, vec_id AS reach FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c""",
+}
