@@ -153,10 +153,10 @@ def credits(matches: DataFrame, innings: DataFrame) -> DataFrame:
 def points_table(matches: DataFrame, innings: DataFrame, adjustments: DataFrame) -> DataFrame:
     """League standings: two points a win, one for no result or an unresolved tie; net run rate over decided matches.
 
-    ``adjustments`` is a hand-kept register: void fixtures go, fixtures abandoned without a ball are added.
+    By ``adjustments`` void fixtures go and fixtures abandoned without a ball are added.
     """
     void = adjustments.where("adjustment = 'void'").select("match_id")
-    league = matches.where("not is_playoff").join(F.broadcast(void), "match_id", "left_anti")
+    league = matches.where("not is_playoff").join(void, "match_id", "left_anti")
     decided, winner, result = F.col("result_type").isin("win", "tie"), F.col("winner"), F.col("result_type")
 
     def side(team: str) -> Column:
@@ -248,7 +248,7 @@ def phase_stats(balls: DataFrame) -> DataFrame:
 def head_to_head(matches: DataFrame, adjustments: DataFrame) -> DataFrame:
     """Unordered pairs of franchises; the last winner is null if the last meeting (of a day, the last match) had none."""
     void = adjustments.where("adjustment = 'void'").select("match_id")
-    met = matches.join(F.broadcast(void), "match_id", "left_anti").select(
+    met = matches.join(void, "match_id", "left_anti").select(
         "*", F.least("team1_franchise", "team2_franchise").alias("franchise_a"), F.greatest("team1_franchise", "team2_franchise").alias("franchise_b")
     )
     won_by = lambda side: rules.count_if(F.col("winner_franchise") == F.col(side))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from creaseline import shaped
 from creaseline.functions import rules
 from creaseline.operators.keyed import reconcile
-from creaseline.plans import marts, quality, serve, silver
+from creaseline.plans import batch, marts, quality, serve, silver
 from creaseline.queries.flat import flat
+from creaseline.sources.scratch import scratch_path
 from creaseline.streaming import events as ev
 
 K = silver.INNINGS_KEY
@@ -151,8 +152,24 @@ def _check_tables(d: Data) -> dict[str, DataFrame]:
     }
 
 
+def _batch(d: Data) -> tuple[str, dict[str, DataFrame]]:
+    root = scratch_path(d.spark, "batch")
+    return root, batch.build(d.spark, d.documents, d.venues, d.teams, d.adjustments, root, stop_on_error=False)
+
+
+def _batch_build(d: Data) -> DataFrame:
+    """The whole batch dataflow into tables; rows of each."""
+    out = None
+    for name, frame in _batch(d)[1].items():
+        row = frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = row if out is None else out.unionByName(row)
+    return flat(out)
+
+
 def _dq(d: Data) -> DataFrame:
-    return flat(quality.violation_counts(quality.CONFORMED + quality.MARTS, _check_tables(d)), "check", "table", "severity", "violations")
+    """Check results that the gates of a batch build stored."""
+    root, _ = _batch(d)
+    return flat(d.spark.read.parquet(f"{root}/ops/results"), "check", "table", "severity", "violations")
 
 
 def _check(name: str) -> Callable[[Data], DataFrame]:
@@ -213,6 +230,7 @@ _BUILT: dict[str, Callable[[Data], DataFrame]] = {
     "live_scorecard": _live,
     "match_state": _match_state,
     "reconcile": _reconcile,
+    "batch_build": _batch_build,
     "dq_violation_counts": _dq,
     "dq_parent_reconcile": lambda d: flat(_check("batting_runs_reconcile")(d), *K),
     "standings": lambda d: flat(serve.standings(d.points, SEASON)),

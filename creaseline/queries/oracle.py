@@ -200,6 +200,13 @@ _SELECT = {
         strftime(match_date::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS started_at, winner, CASE result_type WHEN 'no_result' THEN 'no result' ELSE result_type END AS result,
         strftime(match_date::TIMESTAMP + to_seconds(z), '%Y-%m-%d %H:%M:%S') AS completed_at FROM mt JOIN (SELECT m, max(offset_seconds) AS z FROM ev GROUP BY m) USING (m)""",
     "reconcile": f"SELECT {_K}, 'runs' AS problem, runs::VARCHAR AS expected, ball_runs::VARCHAR AS actual FROM i WHERE runs <> ball_runs",
+    "batch_build": """SELECT * FROM (VALUES ('deliveries', (SELECT count(*) FROM d)), ('wickets', (SELECT count(*) FROM w)), ('innings', (SELECT count(*) FROM i)),
+        ('substitutions', (SELECT count(*) FROM subs)), ('match_players', (SELECT count(*) FROM pl)), ('matches', (SELECT count(*) FROM mt)), ('innings_summary', (SELECT count(*) FROM ix)),
+        ('match_summary', (SELECT count(*) FROM sm)), ('batting_scorecard', (SELECT count(*) FROM bt)), ('bowling_scorecard', (SELECT count(*) FROM bw)),
+        ('player_season_batting', (SELECT count(*) FROM sbx)), ('player_season_bowling', (SELECT count(*) FROM sox)), ('points_table', (SELECT count(*) FROM pt)),
+        ('venue_stats', (SELECT count(DISTINCT venue) FROM mt)), ('team_phase_stats', (SELECT count(DISTINCT (season, team, phase, p)) FROM
+          (SELECT season, batting_team AS team, phase, 1 AS p FROM d WHERE NOT is_super_over UNION ALL SELECT season, bowling_team, phase, 2 FROM d WHERE NOT is_super_over))),
+        ('head_to_head', (SELECT count(DISTINCT (least(f1, f2), greatest(f1, f2))) FROM mt WHERE m NOT IN (SELECT m FROM void)))) t("name", "rows")""",
     "dq_violation_counts": """SELECT * FROM (VALUES
         ('deliveries_runs_total_consistent', 'deliveries', 'error', (SELECT count(*) FROM d WHERE total <> hit + extras)),
         ('deliveries_extras_breakdown', 'deliveries', 'error', (SELECT count(*) FROM d WHERE extras <> wides + noballs + byes + legbyes + penalty)),
