@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creaseline.plans import marts, quality, silver
-from creaseline.sources import tables
+from creaseline.sources import landing, tables
 
 #: Tables that are split by season; the others are small.
 BY_SEASON = {
@@ -78,3 +78,20 @@ def build(
     final = stored(spark, root, "gold", built)
     gate(spark, root, "gold", quality.MARTS, final, run_id, stop_on_error)
     return conformed | final
+
+
+def refresh(
+    spark: SparkSession, manifest: DataFrame, bronze: str, venues: DataFrame, teams: DataFrame, adjustments: DataFrame, root: str, stop_on_error: bool = True
+) -> Tables:
+    """Brings the tables up to the manifest: only matches whose latest version is not stored are read and replaced."""
+    known = tables.current(spark, f"{root}/silver/matches") is not None
+    if known:
+        held = tables.read(spark, f"{root}/silver/matches").select("match_id", "source_sha256")
+    else:
+        held = spark.createDataFrame([], "match_id string, source_sha256 string")
+    # Written down first: the tables that decide what is pending are replaced below.
+    path = f"{root}/ops/pending-{uuid.uuid4().hex}"
+    landing.pending(manifest, held).select("match_id", "sha256").write.parquet(path)
+    waiting = spark.read.parquet(path)
+    documents = landing.landed_documents(spark, bronze, waiting)
+    return build(spark, documents, venues, teams, adjustments, root, waiting.select("match_id") if known else None, stop_on_error)

@@ -72,7 +72,7 @@ def land(spark: SparkSession, folder: str, manifest: DataFrame, bronze: str, run
 
 def landed_documents(spark: SparkSession, bronze: str, wanted: DataFrame) -> DataFrame:
     """Documents of the wanted (match_id, sha256) versions; a value that breaks the schema stops the job."""
-    rows = spark.read.parquet(f"{bronze}/matches").join(wanted.select("match_id", "sha256"), ["match_id", "sha256"], "left_semi")
+    rows = spark.read.parquet(f"{bronze}/matches").select("match_id", "sha256", "value").join(wanted.select("match_id", "sha256"), ["match_id", "sha256"], "left_semi").dropDuplicates(["match_id", "sha256"])
     doc = F.from_json("value", schemas.MATCH, {"mode": "FAILFAST"})
     return rows.select("match_id", F.col("sha256").alias("source_sha256"), doc.alias("d")).select("match_id", "source_sha256", "d.*")
 

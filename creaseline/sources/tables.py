@@ -1,16 +1,19 @@
 """Tables on a columnar path: scans, full refresh, staged replacement, idempotent micro-batches.
 
 ``fmt`` is ``parquet``, or ``delta`` where its jar is on the class path.  A Parquet path is never overwritten while
-it is read: new content goes to a version folder next to it, and a one-line pointer file says which one is current.
+it is read: new content goes to a version folder next to it, and a one-line pointer file says which one is current and
+what its schema is, so that an empty table can be read too.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from creaseline.operators.keyed import replace_for_ids
 
@@ -28,22 +31,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def _pointer(spark: SparkSession, path: str) -> dict | None:
+    pointer = f"{path}/_current"
+    return json.loads(spark.read.text(pointer).first()[0]) if exists(spark, pointer) else None
+
+
 def current(spark: SparkSession, path: str) -> str | None:
     """The folder of a table's current version, or None without one."""
-    pointer = f"{path}/_current"
-    if not exists(spark, pointer):
-        return None
-    return f"{path}/{spark.read.text(pointer).first()[0]}"
+    pointer = _pointer(spark, path)
+    return f"{path}/{pointer['version']}" if pointer else None
 
 
 def read(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path if fmt == "delta" else current(spark, path) or path)
+    pointer = _pointer(spark, path) if fmt != "delta" else None
+    if pointer is None:
+        return spark.read.format(fmt).load(path)
+    return spark.read.schema(StructType.fromJson(pointer["schema"])).parquet(f"{path}/{pointer['version']}")
 
 
-def _publish(spark: SparkSession, path: str, version: str) -> None:
+def _publish(spark: SparkSession, path: str, version: str, schema: StructType) -> None:
     """Points to a version: the pointer is written aside and renamed, so a reader sees the old or the new one."""
     aside = f"{path}/_next-{version}"
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.text(aside)
+    line = json.dumps({"version": version, "schema": json.loads(schema.json())})
+    spark.createDataFrame([(line,)], "v string").coalesce(1).write.text(aside)
     source, fs = _hadoop(spark, aside)
     target, _ = _hadoop(spark, f"{path}/_current")
     old = current(spark, path)
@@ -66,7 +76,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: s
         return
     version = f"v-{uuid.uuid4().hex}"
     writer.parquet(f"{path}/{version}")
-    _publish(spark, path, version)
+    _publish(spark, path, version, df.schema)
 
 
 def replace_ids(spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:

@@ -11,7 +11,7 @@ import documents as written  # noqa: E402
 
 from creaseline import schemas  # noqa: E402
 from creaseline.operators import keyed  # noqa: E402
-from creaseline.plans import silver  # noqa: E402
+from creaseline.plans import batch, silver  # noqa: E402
 from creaseline.sources import landing, tables  # noqa: E402
 
 
@@ -83,3 +83,27 @@ def test_reconcile(spark):
     b = spark.createDataFrame([(1, "x", 6), (2, "y", None), (4, "w", 1)], "k int, t string, n int")
     got = {(r.k, r.problem, r.expected, r.actual) for r in keyed.reconcile(a, b, ["k"], ["t", "n"]).collect()}
     assert got == {(1, "n", "5", "6"), (3, "missing", None, None), (4, "unexpected", None, None)}
+
+
+def test_refresh_touches_changed_matches_only(spark, tmp_path):
+    incoming, bronze, root = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "lake")
+    none = [spark.createDataFrame([], s) for s in (schemas.VENUES, schemas.TEAMS, schemas.ADJUSTMENTS)]
+    for k, doc in ((1, written.plain()), (2, written.revised()), (3, written.washout())):
+        put(incoming, f"{k}.json", json.dumps(doc))
+    manifest = landing.land(spark, str(incoming), spark.createDataFrame([], schemas.MANIFEST), bronze, "r1").cache()
+    first = batch.refresh(spark, manifest, bronze, *none, root)
+    assert first["matches"].count() == 3 and first["points_table"].count() == 2
+    before = {r.match_id: r.source_sha256 for r in first["matches"].collect()}
+    corrected = written.plain()
+    corrected["innings"][0]["overs"].append({"over": 2, "deliveries": [written.ball("Reds 3", "Blues 7", 4)]})
+    corrected["innings"][1]["target"]["runs"] += 4
+    put(incoming, "1.json", json.dumps(corrected))
+    added = landing.land(spark, str(incoming), manifest, bronze, "r2").withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 hour"))
+    second = batch.refresh(spark, manifest.unionByName(added), bronze, *none, root)
+    after = {r.match_id: r.source_sha256 for r in second["matches"].collect()}
+    assert {k for k in after if after[k] != before[k]} == {"1"}
+    assert second["innings"].where("match_id = 1 and innings_number = 1").first().runs == 22
+    again = batch.refresh(spark, manifest.unionByName(added), bronze, *none, root)
+    assert again["deliveries"].count() == again["deliveries"].select("delivery_id").distinct().count()
+    results = spark.read.parquet(f"{root}/ops/results")
+    assert results.select("run_id").distinct().count() == 3 and results.count() == 3 * 20
