@@ -46,7 +46,7 @@ def write_silver(spark: SparkSession, documents: DataFrame, venues: DataFrame, t
     try:
         replaced = silver.substitutions(documents)
         frames = {
-            "deliveries": ball.drop("_wickets", "_people"), "wickets": silver.wickets(ball), "innings": silver.innings(documents, ball),
+            "deliveries": ball.drop("_wickets"), "wickets": silver.wickets(ball), "innings": silver.innings(documents, ball),
             "substitutions": replaced, "match_players": silver.match_players(documents, replaced), "matches": silver.matches(documents, venues, teams),
         }
         for name in silver.TABLES:

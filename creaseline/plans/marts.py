@@ -46,6 +46,12 @@ def with_player_id(card: DataFrame, players: DataFrame, team: str, name: str) ->
     return card.join(ids, ["match_id", team, name], "left")
 
 
+def place_in_innings(*extra: Column) -> Column:
+    """Over, ball and, with ``extra``, a bit below as one number: its minimum stays in hash aggregation."""
+    ball = F.col("over_index").cast("bigint") * 2**20 + F.col("delivery_seq") * 2
+    return ball + extra[0] if extra else ball
+
+
 def batting_scorecard(balls: DataFrame, wickets: DataFrame, players: DataFrame) -> DataFrame:
     """Batters by first appearance; the striker of a ball comes before the non-striker.
 
@@ -63,7 +69,7 @@ def batting_scorecard(balls: DataFrame, wickets: DataFrame, players: DataFrame)
     )
     crease = balls.select(*head, "over_index", "delivery_seq", F.inline(F.array(numbers, waiting)))
     sums = crease.groupBy(*head, "batter").agg(
-        F.min(F.struct("over_index", "delivery_seq", "slot")).alias("_first"),
+        F.min(place_in_innings(F.col("slot"))).alias("_first"),
         rules.total("runs").alias("runs"), rules.count_if(F.col("faced")).alias("balls"), rules.count_if(F.col("four")).alias("fours"),
         rules.count_if(F.col("six")).alias("sixes"), rules.count_if(F.col("dot")).alias("dots"),
     )
@@ -87,13 +93,13 @@ def bowling_scorecard(balls: DataFrame, players: DataFrame) -> DataFrame:
     flags = {"balls": legal, "dots": legal & (F.col("bowler_runs") == 0), "fours_conceded": F.col("is_four"), "sixes_conceded": F.col("is_six"),
              "wides": F.col("is_wide"), "noballs": F.col("is_noball")}
     spell = balls.groupBy(*head, "over_index").agg(
-        F.min("delivery_seq").alias("_seq"), rules.total("bowler_runs").alias("runs_conceded"), rules.total("bowler_wickets").alias("wickets"),
+        F.min(place_in_innings()).alias("_place"), rules.total("bowler_runs").alias("runs_conceded"), rules.total("bowler_wickets").alias("wickets"),
         *[rules.count_if(c).alias(n) for n, c in flags.items()],
     )
     bowlers = F.count(F.lit(1)).over(Window.partitionBy(*INNINGS_KEY, "over_index"))
     shared = spell.withColumn("_maiden", (bowlers == 1) & (F.col("balls") >= rules.BALLS_PER_OVER) & (F.col("runs_conceded") == 0))
     card = shared.groupBy(*head).agg(
-        F.min(F.struct("over_index", "_seq")).alias("_first"),
+        F.min("_place").alias("_first"),
         *[rules.total(c).alias(c) for c in ("runs_conceded", "wickets", *flags)], rules.count_if(F.col("_maiden")).alias("maidens"),
     )
     place = F.row_number().over(Window.partitionBy(*INNINGS_KEY).orderBy("_first"))

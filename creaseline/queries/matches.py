@@ -147,7 +147,7 @@ def _reconcile(d: Data) -> DataFrame:
 
 def _check_tables(d: Data) -> dict[str, DataFrame]:
     return {
-        "deliveries": d.balls.drop("_people", "_wickets"), "innings": d.innings, "matches": d.matches, "match_players": d.players, "venues": d.venues, "teams": d.teams,
+        "deliveries": d.balls.drop("_wickets"), "innings": d.innings, "matches": d.matches, "match_players": d.players, "venues": d.venues, "teams": d.teams,
         "points_table": d.points, "batting_scorecard": d.batting, "bowling_scorecard": d.bowling, "innings_summary": marts.innings_summary(d.matches, d.innings),
     }
 
