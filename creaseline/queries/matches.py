@@ -21,15 +21,29 @@ BALL = [*K, "over_index", "delivery_seq"]
 
 
 class Data:
-    """The frames that queries share, built on first use; nothing runs until a query's result does."""
+    """The frames of a query, built on first use.
+
+    ``documents`` are written once to the shared folder, as landed documents would be, for queries that read them
+    more than once; ``once`` is the same without that step, for queries of a single pass.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def documents(self) -> DataFrame:
+    def once(self) -> DataFrame:
         return shaped.documents(self.spark, self.sf_dir)
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        path = scratch_path(self.spark, "documents")
+        self.once.write.parquet(path)
+        return self.spark.read.schema(self.once.schema).parquet(path)
+
+    @cached_property
+    def balls_once(self) -> DataFrame:
+        return silver.deliveries(self.once)
+
     @cached_property
     def venues(self) -> DataFrame:
         return shaped.venues(self.spark, self.sf_dir)
@@ -66,6 +80,10 @@ class Data:
     def matches(self) -> DataFrame:
         return silver.matches(self.documents, self.venues, self.teams)
 
+    @cached_property
+    def matches_once(self) -> DataFrame:
+        return silver.matches(self.once, self.venues, self.teams)
+
     @cached_property
     def batting(self) -> DataFrame:
         return marts.batting_scorecard(self.balls, self.wickets, self.players)
@@ -96,16 +114,16 @@ class Data:
 
 
 def _innings_explode(d: Data) -> DataFrame:
-    return flat(silver.innings_rows(d.documents), *K, "season", "batting_team", "bowling_team", "is_super_over", "scheduled_overs")
+    return flat(silver.innings_rows(d.once), *K, "season", "batting_team", "bowling_team", "is_super_over", "scheduled_overs")
 
 
 def _deliveries_explode(d: Data) -> DataFrame:
-    return flat(silver.balls(d.documents).select(*BALL, F.col("d.batter").alias("batter"), F.col("d.bowler").alias("bowler"), F.col("d.runs.total").alias("total")))
+    return flat(silver.balls(d.once).select(*BALL, F.col("d.batter").alias("batter"), F.col("d.bowler").alias("bowler"), F.col("d.runs.total").alias("total")))
 
 
 def _ball_facts(d: Data) -> DataFrame:
     return flat(
-        silver.ball_facts(d.documents), "delivery_id", "runs_batter", "runs_extras", "runs_total", "is_wide", "is_noball", "is_legal", "batter_faced",
+        silver.ball_facts(d.once), "delivery_id", "runs_batter", "runs_extras", "runs_total", "is_wide", "is_noball", "is_legal", "batter_faced",
         "is_four", "is_six", "is_dot", "bowler_runs", "team_wickets", "bowler_wickets", "is_wicket", "players_out", "wicket_kinds",
     )
 
@@ -115,7 +133,7 @@ def _map_fold(d: Data) -> DataFrame:
 
 
 def _overs_notation(d: Data) -> DataFrame:
-    both = d.balls.select(*BALL, "legal_ball_number", rules.balls_to_overs("legal_ball_number").alias("overs"))
+    both = d.balls_once.select(*BALL, "legal_ball_number", rules.balls_to_overs("legal_ball_number").alias("overs"))
     return flat(both.withColumn("balls_again", rules.overs_to_balls(F.col("overs").cast("double"))))
 
 
@@ -190,25 +208,25 @@ SEASON = 1998
 SUMS = ["season", "player_id", "player_name", "teams", "innings", "matches"]
 
 _BUILT: dict[str, Callable[[Data], DataFrame]] = {
-    "match_header": lambda d: flat(d.matches, "match_id", "season", "match_date", "match_days", "match_number", "stage", "is_playoff", "team1", "team2", "toss_winner",
+    "match_header": lambda d: flat(d.matches_once, "match_id", "season", "match_date", "match_days", "match_number", "stage", "is_playoff", "team1", "team2", "toss_winner",
                                    "toss_decision", "result_type", "winner", "loser", "super_over_winner", "win_by_runs", "win_by_wickets", "result_method", "player_of_match", "umpires"),
-    "canonicalise": lambda d: flat(d.matches, "match_id", "venue", "city", "team1_franchise", "team2_franchise", "winner_franchise"),
+    "canonicalise": lambda d: flat(d.matches_once, "match_id", "venue", "city", "team1_franchise", "team2_franchise", "winner_franchise"),
     "innings_explode": _innings_explode,
     "deliveries_explode": _deliveries_explode,
     "ball_facts": _ball_facts,
     "overs_notation": _overs_notation,
-    "phase_bucket": lambda d: flat(silver.ball_facts(d.documents).groupBy("season", "phase").agg(F.count(F.lit(1)).alias("balls"), F.sum("runs_total").alias("runs"))),
-    "in_any_range": lambda d: flat(d.balls, *BALL, "in_powerplay"),
-    "map_membership": lambda d: flat(silver.ball_facts(d.documents).where("umpire_miscount"), *BALL, "umpire_miscount"),
+    "phase_bucket": lambda d: flat(silver.ball_facts(d.once).groupBy("season", "phase").agg(F.count(F.lit(1)).alias("balls"), F.sum("runs_total").alias("runs"))),
+    "in_any_range": lambda d: flat(d.balls_once, *BALL, "in_powerplay"),
+    "map_membership": lambda d: flat(silver.ball_facts(d.once).where("umpire_miscount"), *BALL, "umpire_miscount"),
     "map_fold": _map_fold,
-    "wickets_explode": lambda d: flat(d.wickets, *BALL, "wicket_seq", "player_out", "kind", "fielders", "fielder_is_substitute", "credited_bowler", "player_out_id"),
+    "wickets_explode": lambda d: flat(silver.wickets(d.balls_once), *BALL, "wicket_seq", "player_out", "kind", "fielders", "fielder_is_substitute", "credited_bowler", "player_out_id"),
     "lineups": lambda d: flat(d.players, "match_id", "team", "lineup_order", "player_name", "player_id", "is_impact_substitute"),
-    "substitutions": lambda d: flat(d.substitutions, *BALL, "team", "player_in", "player_out", "reason"),
+    "substitutions": lambda d: flat(silver.substitutions(d.once), *BALL, "team", "player_in", "player_out", "reason"),
     "people_semi": _people,
-    "running_totals": lambda d: flat(d.balls, *BALL, "legal_ball_in_over", "legal_ball_number", "team_runs_after", "team_wickets_after"),
-    "ball_label": lambda d: flat(d.balls, *BALL, "ball_label"),
-    "running_conditional": lambda d: flat(d.wickets, *BALL, "wicket_seq", "counts_as_team_wicket", "team_wicket_number", "team_runs_at_fall"),
-    "over_ball_counts": lambda d: flat(quality.over_ball_counts(silver.ball_facts(d.documents))),
+    "running_totals": lambda d: flat(d.balls_once, *BALL, "legal_ball_in_over", "legal_ball_number", "team_runs_after", "team_wickets_after"),
+    "ball_label": lambda d: flat(d.balls_once, *BALL, "ball_label"),
+    "running_conditional": lambda d: flat(silver.wickets(d.balls_once), *BALL, "wicket_seq", "counts_as_team_wicket", "team_wicket_number", "team_runs_at_fall"),
+    "over_ball_counts": lambda d: flat(quality.over_ball_counts(silver.ball_facts(d.once))),
     "innings_totals": lambda d: flat(d.innings, *K, "deliveries", "runs", "wickets", "legal_balls", "extras", "wides", "noballs", "byes", "legbyes", "fours", "sixes", "dot_balls",
                                      "all_out", "official_balls", "overs", "run_rate", "target_runs", "target_balls", "penalty_runs_pre"),
     "safe_rates": lambda d: flat(d.innings.select(*K, rules.rate("runs", "wickets").alias("per_wicket"), rules.rate("fours", "sixes", 100, 1).alias("four_six_pct"))),
@@ -224,8 +242,8 @@ _BUILT: dict[str, Callable[[Data], DataFrame]] = {
     "nrr_credits": _nrr,
     "points_table": lambda d: flat(d.points),
     "venue_stats": lambda d: flat(marts.venue_stats(d.matches, d.innings)),
-    "phase_stats": lambda d: flat(marts.phase_stats(d.balls)),
-    "head_to_head": lambda d: flat(marts.head_to_head(d.matches, d.adjustments)),
+    "phase_stats": lambda d: flat(marts.phase_stats(d.balls_once)),
+    "head_to_head": lambda d: flat(marts.head_to_head(d.matches_once, d.adjustments)),
     "event_envelopes": lambda d: flat(d.events, "match_id", "event_id", "event_type", "sequence", "offset_seconds", "event_time"),
     "live_scorecard": _live,
     "match_state": _match_state,
@@ -240,7 +258,7 @@ _BUILT: dict[str, Callable[[Data], DataFrame]] = {
     "champions": lambda d: flat(serve.champions(d.summary)),
     "all_time_batting": lambda d: flat(serve.all_time_batting(d.season_batting)),
     "all_time_bowling": lambda d: flat(serve.all_time_bowling(d.season_bowling)),
-    "dataset_summary": lambda d: flat(serve.dataset_summary(d.matches, F.col("match_date"), F.col("season"))),
+    "dataset_summary": lambda d: flat(serve.dataset_summary(d.matches_once, F.col("match_date"), F.col("season"))),
 }
 
 

@@ -173,7 +173,9 @@ def stream_reject_reasons(spark, sf_dir):
 
 def stream_scorecard(spark, sf_dir):
     """All matches as a feed in which every fifth event comes twice, through ingest and scorecard queries."""
-    documents = shaped.documents(spark, sf_dir)
+    path = scratch_path(spark, "documents")
+    shaped.documents(spark, sf_dir).write.parquet(path)
+    documents = spark.read.parquet(path)
     feed = ev.to_feed(ev.envelopes(documents, silver.deliveries(documents)))
     root, source = _streamed(spark, feed.unionByName(feed.where("offset % 5 = 0")), "stream-score")
     live.ensure_tables(spark, root)
