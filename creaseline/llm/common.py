@@ -44,25 +44,15 @@ def number_within(df: DataFrame, group: list[str], order: list[str], name: str)
     buckets = BUCKETS_PER_PARTITION * partitions(df.sparkSession)
     mixed = F.xxhash64(*[F.col(c) for c in order])
     high = F.shiftrightunsigned(mixed, 32)
-    rows = df.withColumn("_bucket", F.shiftright(high * buckets, 32).cast("int"))
-    starts = (
-        rows.groupBy(*group, "_bucket")
-        .count()
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("count").over(
-                    Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("count")
-    )
-    inside = Window.partitionBy(*group, "_bucket").orderBy(high, mixed, *order)
+    bucket = F.shiftright(high * buckets, 32).cast("int")
+    # One struct as key: it is never null itself, so window and join share an exchange even where a group is null.
+    rows = df.withColumn("_key", F.struct(*[F.col(c) for c in group], bucket.alias("_bucket")))
+    before = Window.partitionBy(*[f"_key.{c}" for c in group]).orderBy("_key._bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_key").count()
+    starts = counts.select(F.col("_key").alias("_of"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_key").orderBy(high, mixed, *order)
     ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1)
-    keys = [ranked[c].eqNullSafe(starts[c]) for c in [*group, "_bucket"]]
-    joined = ranked.join(starts, keys, "left")
+    joined = ranked.join(starts, F.col("_key") == F.col("_of"))
     return joined.select(*[ranked[c] for c in df.columns], (F.col("_rank") + F.col("_start")).alias(name))
 
 
