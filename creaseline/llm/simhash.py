@@ -103,6 +103,8 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     owners = classes.join(moved, classes["fingerprint"] == F.col("_f"), "left").select(
         F.col("fingerprint").alias("_f"), F.coalesce("least_id", "first_id").alias("component_id")
     )
+    # A table of its own, so that the join below is a plain one whose skewed fingerprints Spark can split.
+    owners = materialise(owners, "owners")
     return marked.join(owners, marked["fingerprint"] == F.col("_f")).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
