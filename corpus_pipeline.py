@@ -16,28 +16,33 @@ from creaseline.llm.common import materialise, read
 TOXIC_SCORE = 0.5
 
 
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns next to the whole row as ``doc``, so that no other column's name can clash."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below ``TOXIC_SCORE``."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("_toxicity") < TOXIC_SCORE).drop("_toxicity")
+    return toxicity.score(wrapped(docs, "text"), model).where(F.col("_toxicity") < TOXIC_SCORE).select("doc.*")
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with a score above the calibrated threshold."""
     model = langid.fit(docs)
-    return langid.languages(docs, model).where(~F.col("_language.rejected")).drop("_language")
+    return langid.languages(wrapped(docs, "text"), model).where(~F.col("_language.rejected")).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group the document with the least doc_id; of rows with equal doc_id in a group all stay."""
     groups = simhash.near_duplicates(docs)
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return wrapped(docs, "doc_id").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture in its order: every document once, those of sources below their weight repeatedly."""
-    return mixing.in_order(mixing.mix(docs)).select(*docs.columns)
+    return mixing.in_order(mixing.mix(wrapped(docs, "doc_id", "source"))).select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
