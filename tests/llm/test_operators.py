@@ -558,3 +558,18 @@ def test_pipeline_stages(spark, small, docs):
     for r in kept.collect():
         by_doc[r.doc_id].append(r.text)
     check_packing(rows, by_doc)
+
+
+def test_pipeline_with_clashing_columns(spark, small):
+    """Stages carry foreign columns, whatever their names, and odd rows."""
+    frame = odd_docs(spark).where("doc_id is not null")
+    for name in ("_language", "_toxicity", "_gone", "_position", "_key", "_rank", "_features", "fingerprint", "doc"):
+        frame = frame.selectExpr("*", f"'mine' as {name}")
+    out = frame
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, small).cache()
+        assert out.columns == frame.columns
+        assert {r._position for r in out.collect()} <= {"mine"}
+    empty = frame.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, small).count() == 0
