@@ -58,18 +58,16 @@ def gram_buckets(data: np.ndarray, n: int) -> np.ndarray:
 
 def text_grams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For runs of texts: their range, and for all their n-grams the text's number in the run and the bucket."""
-    lowered = pc.utf8_lower(texts.fill_null(""))
-    offsets, data = flat_bytes(lowered)
-    for start, end in runs_by_bytes(np.diff(offsets)):
-        # A space on both sides; n-grams across texts are left out.
-        own = offsets[start : end + 1] - offsets[start]
-        sizes = np.diff(own) + 2
+    for start, end in runs_by_bytes(pc.binary_length(texts).fill_null(0).to_numpy()):
+        # Only a run's texts are copied.  A space on both sides; n-grams across texts are left out.
+        offsets, data = flat_bytes(pc.utf8_lower(texts.slice(start, end - start)))
+        sizes = np.diff(offsets) + 2
         padded = np.full(int(sizes.sum()), 32, np.uint8)
         owner = np.repeat(np.arange(end - start, dtype=np.int32), sizes)
         inner = np.ones(len(padded), bool)
         edges = np.cumsum(sizes)
         inner[edges - 1] = inner[edges - sizes] = False
-        padded[inner] = _SPACED[data[offsets[start] : offsets[end]]]
+        padded[inner] = _SPACED[data]
         owners, buckets = [], []
         for n in GRAMS:
             b = gram_buckets(padded, n)
