@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens: a row per piece, with its place."""
-    return packing.packed_documents(docs)
+    return packing.packed_documents(docs, match_added=True)
 
 
 STAGES = [

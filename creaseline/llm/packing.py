@@ -14,6 +14,7 @@ task sees more than its share of pieces.
 from __future__ import annotations
 
 import base64
+import json
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -32,13 +33,16 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "length long, rank_from long, rank_to long, per_bin long, bin_from long, at long"
 
 
-def encoder(ranks_path: str, pattern: str):
-    """The byte-level BPE of a rank file; gives the ids of the tokenizer file with the same vocabulary."""
+def encoder(ranks_path: str, pattern: str, added: dict[str, int] | None = None):
+    """The byte-level BPE of a rank file; gives the ids of the tokenizer file with the same vocabulary.
+
+    ``added`` are the tokens that ``encode(text, allowed_special="all")`` finds inside texts.
+    """
     import tiktoken
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
 
 
 def tokenizer_files() -> tuple[str, str]:
@@ -48,15 +52,26 @@ def tokenizer_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added_tokens() -> dict[str, int]:
+    """The added tokens of the public tokenizer file, which it finds literally inside texts before any split."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("an added token is not matched literally")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``total`` tokens; only the first may be shorter."""
     first = total % capacity or capacity
     return [(0, first), *((start, capacity) for start in range(first, total, capacity))]
 
 
-def _tokenise_batches(capacity: int, separator: int):
+def _tokenise_batches(capacity: int, separator: int, match_added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*tokenizer_files()).encode_ordinary
+        encoding = encoder(*tokenizer_files(), added_tokens() if match_added else None)
         for batch in batches:
             docs, texts = batch.column("doc_id"), batch.column("text").fill_null("")
             sizes = pc.binary_length(texts).to_numpy()
@@ -64,7 +79,7 @@ def _tokenise_batches(capacity: int, separator: int):
                 doc, piece, start, length, ids = [], [], [], [], []
                 part = zip(docs.slice(begin, end - begin).to_pylist(), texts.slice(begin, end - begin).to_pylist())
                 for doc_id, text in part:
-                    tokens = np.array([*encode(text), separator], "<u4").tobytes()
+                    tokens = np.array([*encoding.encode(text, allowed_special="all"), separator], "<u4").tobytes()
                     for n, (at, size) in enumerate(cut(len(tokens) // 4, capacity)):
                         doc.append(doc_id)
                         piece.append(n)
@@ -79,14 +94,17 @@ def _tokenise_batches(capacity: int, separator: int):
     return run
 
 
-def tokenise(docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
+def tokenise(
+    docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR, match_added: bool = False
+) -> DataFrame:
     """Pieces with their token ids (little-endian unsigned 32-bit): ``doc_id, piece, start, length, ids``.
 
     Needs doc_id and text; other columns are ignored.  A null or empty text is the separator alone.  Rows with
-    the same doc_id are documents of their own.  An empty table gives no row.
+    the same doc_id are documents of their own.  An empty table gives no row.  ``match_added`` gives the tokenizer
+    file's added tokens inside texts their own ids, as the file itself does; else they are ordinary text.
     """
     narrow = docs.select(F.col("doc_id").cast("long"), "text")
-    return narrow.mapInArrow(_tokenise_batches(capacity, separator), PIECES)
+    return narrow.mapInArrow(_tokenise_batches(capacity, separator, match_added), PIECES)
 
 
 def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -212,13 +230,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def packed_documents(docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
+def packed_documents(
+    docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR, match_added: bool = False
+) -> DataFrame:
     """Tokenises and packs: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Texts are tokenised once; the narrow piece table is written to the shared folder and the ids, which only
     :func:`tokenise` returns in full, are reduced to their checksum before any shuffle.
     """
-    pieces = tokenise(docs, capacity, separator).select(
+    pieces = tokenise(docs, capacity, separator, match_added).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
     )
     return pack(materialise(pieces, "pieces"), capacity)

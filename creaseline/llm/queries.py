@@ -22,7 +22,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(read(spark, sf_dir, "documents"))
+    return packing.packed_documents(read(spark, sf_dir, "documents"), match_added=True)
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

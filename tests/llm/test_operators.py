@@ -149,6 +149,24 @@ def test_packing_odd_documents(spark):
     assert packing.packed_documents(no_docs(spark)).count() == 0
 
 
+def test_packing_query_and_stage_match_added_tokens(spark, tmp_path):
+    """Ids of the tokenizer file as it stands, which finds its added tokens inside texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"x{end}y {end}\n", f"<|{end}|>", "<|endoftext|", "<|EndOfText|>", "<|im_end|>", f"w {end} " * 700, "", None]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = []
+    for doc, text in enumerate(texts):
+        ids = np.array([*encode.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        expected += [(doc, n, at, size, zlib.crc32(ids[at : at + size].tobytes())) for n, (at, size) in enumerate(packing.cut(len(ids), 1024))]
+    for rows in (QUERIES["op2_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path))):
+        assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows.collect()) == expected
+
+
 # ---------------------------------------------------------------- 3 mixing
 def brute_period(parts, slots):
     done, out = dict.fromkeys(parts, 0), []
