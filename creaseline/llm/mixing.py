@@ -1,13 +1,14 @@
-"""Mixing sources to target weights by Pfair scheduling; DataFrame operations only.
+"""Mixing sources to target weights by a closed-form schedule; DataFrame operations only.
 
-A source's documents are dealt into blocks of ``block_rows``.  Its target weight w gives block i (from 0) a
-release time floor(i/w) and a deadline ceil((i+1)/w); in each slot of the output the released block with the
-earliest deadline goes next.  Since the weights sum to 1, every block meets its window, and so in every prefix of
-the output each source is less than one block away from its weight times the prefix.
+A source's documents are dealt into blocks of ``block_rows``, and each slot of the output takes one block.  Sources
+are leaves of a binary tree that halves the weight again and again.  Of the first n slots of a node whose children
+weigh a and b, the first child has floor(n a / (a + b) + 1/2) and the second the rest, so both counts and places
+follow by arithmetic from the path of a source: all rows are placed in parallel, for any number of sources and any
+length, and each slot has exactly one block.
 
-Weights are rounded to integer parts of ``slots``.  Then the schedule repeats after ``slots`` slots, so earliest
-deadline first runs once over one period, whose size is a parameter and not the data's, and block i of a source
-finds its slot by arithmetic.  All rows are placed in parallel.
+A level of the tree adds half a block of error and shrinks that of the levels above by the child's share: in every
+prefix of the output a source is at most (1 + sum of w / W over the inner nodes W above it, but the root) / 2 blocks away from
+its weight w times the prefix.  The bound does not grow with the length.
 """
 
 from __future__ import annotations
@@ -15,10 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creaseline.llm.common import number_within, partitions
+from creaseline.llm.common import materialise, number_within, partitions
 
 BLOCK_ROWS = 32
 SLOTS = 1000
+#: Weights are integers of about this sum; no source has less than 1.
+WEIGHT_SUM = 1 << 40
+#: Levels of the tree: midpoints of two sources differ in this many bits.
+LEVELS = 42
 #: Weights by default: the source's share of rows to this power, so that large sources count a little less.
 TEMPERING = 0.9
 #: A source that is smaller than its weight asks for is repeated this often at most; its later slots stay empty.
@@ -33,7 +38,8 @@ def tempered_weights(docs: DataFrame, power: float = TEMPERING) -> DataFrame:
 def parts(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``source, parts``: positive weights as integers that sum to ``slots``, at least 1, by largest remainder.
 
-    Sources without a positive finite weight are left out.  More than ``slots`` sources are an error.
+    Sources without a positive finite weight are left out.  More than ``slots`` sources are an error.  This and
+    :func:`period` make a repeating schedule of rounded weights; :func:`mix` does not use them.
     """
     everyone = Window.partitionBy()
     usable = weights.where((F.col("weight") > 0) & (F.col("weight") < float("inf")))
@@ -93,62 +99,116 @@ def period(shares: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))
+
+
+def _times(a: Column, b: Column) -> Column:
+    return a.cast("decimal(20,0)") * b.cast("decimal(17,0)")
+
+
+def tree_paths(weights: DataFrame) -> DataFrame:
+    """``_of, path``: a source as struct, and for each split from the root its side (0, 1) and both weights.
+
+    Sources without a positive finite weight are left out.  The tree splits the sources' midpoints on a scale of
+    cumulated weight, heavy sources first, at halves, quarters and so on.
+    """
+    usable = weights.where((F.col("weight") > 0) & (F.col("weight") < float("inf"))).groupBy("source").agg(F.sum("weight").alias("weight"))
+    whole = F.broadcast(usable.agg(F.sum("weight").alias("_sum")))  # a single row
+    parts_ = F.greatest(F.lit(1), F.round(F.col("weight") / F.col("_sum") * WEIGHT_SUM)).cast("long")
+    # Prefix sums on two levels, so that no task holds all sources: classes of weight by ranges of hashes, then inside.
+    mixed = F.xxhash64("source")
+    sized = usable.crossJoin(whole).select(F.struct("source").alias("_of"), parts_.alias("q"), mixed.alias("_mixed"))
+    bucket = F.struct((-F.floor(F.log2("q"))).alias("_class"), F.shiftrightunsigned("_mixed", 58).alias("_bucket"))
+    sized = sized.withColumn("_key", bucket)
+    before = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)  # 64 rows a class of weight at most
+    sums = sized.groupBy("_key").agg(F.sum("q").alias("_q"))
+    starts = sums.select(F.col("_key").alias("_at"), F.coalesce(F.sum("_q").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_key").orderBy("_mixed", "_of").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("_start") + F.sum("q").over(inside)
+    total = F.broadcast(sized.agg(F.sum("q").alias("_total")))  # a single row
+    code = _div(_times(2 * F.col("_end") - F.col("q"), F.lit(1 << LEVELS)), 2 * F.col("_total"))
+    placed = sized.join(starts, F.col("_key") == F.col("_at")).withColumn("_end", end).crossJoin(total)
+    coded = placed.select("_of", "q", "_total", code.alias("_code"))
+    levels = F.explode(F.sequence(F.lit(1), F.lit(LEVELS)))
+    nodes = coded.select("_of", "q", "_total", "_code", levels.alias("level")).withColumn(
+        "node", F.expr(f"shiftright(_code, {LEVELS} - level)")
+    )
+    held = nodes.groupBy(F.col("level").alias("_l"), F.col("node").alias("_n")).agg(F.sum("q").alias("_held"))
+    steps = nodes.join(held, (F.col("level") == F.col("_l")) & (F.col("node") == F.col("_n"))).groupBy("_of").agg(
+        F.first("_total").alias("_total"),
+        F.sort_array(F.collect_list(F.struct("level", (F.col("node") % 2).alias("side"), F.col("_held").alias("own")))).alias("_steps"),
+    )
+
+    def split(step: Column, i: Column) -> Column:
+        rest = F.when(i == 0, F.col("_total")).otherwise(F.get("_steps", i - 1)["own"]) - step["own"]
+        first, second = F.when(step["side"] == 0, step["own"]).otherwise(rest), F.when(step["side"] == 0, rest).otherwise(step["own"])
+        return F.struct(step["side"].alias("side"), first.alias("a"), second.alias("b"))
+
+    return steps.select("_of", F.filter(F.transform("_steps", split), lambda x: (x["a"] > 0) & (x["b"] > 0)).alias("path"))
+
+
+def slot_of(block: Column, path: Column) -> Column:
+    """The slot of a source's block, both from 0."""
+
+    def up(at: Column, x: Column) -> Column:
+        twice = _times(2 * at + 1, x["a"] + x["b"])
+        return F.when(x["side"] == 0, _div(twice + 2 * x["a"] - 1, 2 * x["a"]) - 1).otherwise(_div(twice, 2 * x["b"]))
+
+    return F.aggregate(F.reverse(path), block.cast("long"), up)
+
+
+def blocks_before(slot: Column, path: Column) -> Column:
+    """How many of the slots before ``slot`` are the source's."""
+
+    def down(n: Column, x: Column) -> Column:
+        first = _div(_times(2 * n, x["a"]) + x["a"] + x["b"], 2 * (x["a"] + x["b"]))
+        return F.when(x["side"] == 0, first).otherwise(n - first)
+
+    return F.aggregate(path, slot.cast("long"), down)
+
+
 def mix(
     docs: DataFrame,
     weights: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
     slots: int = SLOTS,
-    max_epochs: int = MAX_EPOCHS,
+    max_epochs: int | None = MAX_EPOCHS,
 ) -> DataFrame:
     """All columns of ``docs`` and ``_epoch, _block, _slot, _position``; sort by ``_position`` for the mixture.
 
     The mixture ends when every row was placed once; until then sources that ran out are repeated, up to
-    ``max_epochs`` times, so no row is dropped.  Needs doc_id and source; a null source is a source of its own;
-    sources without a weight are left out.  Rows of a source come in a pseudo-random order that depends on doc_id
-    alone; rows with equal doc_id are rows of their own.  An empty table gives no row.
+    ``max_epochs`` times (None: as often as their weight asks), so no row is dropped.  Needs doc_id and source; a
+    null source is a source of its own; sources without a weight are left out.  Rows of a source come in a
+    pseudo-random order that depends on doc_id alone; rows with equal doc_id are rows of their own.  An empty table
+    gives no row.  ``slots`` is without effect: the schedule has no period.
     """
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     weights = tempered_weights(docs) if weights is None else weights
-    shares = parts(weights, slots)
-    schedule = period(shares, slots)
-    slot_of = lambda i, q, slot: F.floor(i / q) * slots + slot
-    blocks = shares.join(counts, shares["source"].eqNullSafe(counts["source"])).select(
-        shares["source"], F.ceil(F.col("n") / block_rows).alias("blocks")
+    blocks = counts.select(F.struct("source").alias("_counted"), F.ceil(F.col("n") / block_rows).alias("_blocks"))
+    known = materialise(
+        tree_paths(weights).join(blocks, F.col("_of") == F.col("_counted")).select("_of", F.col("path").alias("_path"), "_blocks"), "sources"
     )
-    last = schedule.join(
-        blocks,
-        schedule["source"].eqNullSafe(blocks["source"])
-        & (F.col("nth") == F.pmod(F.col("blocks") - 1, F.col("parts"))),
-    ).agg((F.max(slot_of(F.col("blocks") - 1, F.col("parts"), F.col("slot"))) + 1).alias("end"))
-    # One row for each slot of a period, whose number is a parameter: these can be broadcast.
-    ended = schedule.crossJoin(F.broadcast(last))
-    takes = ended.groupBy("source", "parts").agg(
-        (F.first(F.floor(F.col("end") / slots)) * F.first("parts") + F.sum((F.col("slot") < F.col("end") % slots).cast("long"))).alias("takes")
-    )
-    limits = (
-        blocks.join(takes, blocks["source"].eqNullSafe(takes["source"]))
-        .select(
-            blocks["source"].alias("_source"),
-            F.col("parts").alias("_parts"),
-            F.col("blocks").alias("_blocks"),
-            F.least(F.col("takes"), F.col("blocks") * max_epochs).alias("_takes"),
-        )
+    last = F.broadcast(known.agg((F.max(slot_of(F.col("_blocks") - 1, F.col("_path"))) + 1).alias("_end")))  # a single row
+    takes = blocks_before(F.col("_end"), F.col("_path"))
+    if max_epochs is not None:
+        takes = F.least(takes, F.col("_blocks") * max_epochs)
+    limits = materialise(
+        known.crossJoin(last).select(F.col("_of").alias("_source"), "_path", "_blocks", takes.alias("_takes")), "limits"
     )
     ranked = number_within(docs, ["source"], ["doc_id"], "_rank")
     placed = (
-        ranked.join(F.broadcast(limits), ranked["source"].eqNullSafe(F.col("_source")))
-        .withColumn("_of", F.floor(F.col("_rank") / block_rows))
-        .withColumn("_block", F.explode(F.sequence("_of", F.col("_takes") - 1, F.col("_blocks"))))
-        .withColumn("_nth", F.col("_block") % F.col("_parts"))
+        ranked.join(F.broadcast(limits), F.struct(ranked["source"]) == F.col("_source"))
+        .withColumn("_first", F.floor(F.col("_rank") / block_rows))
+        .withColumn("_block", F.explode(F.sequence("_first", F.col("_takes") - 1, F.col("_blocks"))))
+        .withColumn("_slot", slot_of(F.col("_block"), F.col("_path")))
     )
-    where = F.broadcast(schedule.select(F.col("source").alias("_at"), F.col("nth"), F.col("slot").alias("_in_period")))
-    slot = slot_of(F.col("_block"), F.col("_parts"), F.col("_in_period"))
-    return placed.join(where, F.col("_source").eqNullSafe(F.col("_at")) & (F.col("_nth") == F.col("nth"))).select(
+    return placed.select(
         *[ranked[c] for c in docs.columns],
         F.floor(F.col("_block") / F.col("_blocks")).alias("_epoch"),
         F.col("_block"),
-        slot.alias("_slot"),
-        (slot * block_rows + F.col("_rank") % block_rows).alias("_position"),
+        F.col("_slot"),
+        (F.col("_slot") * block_rows + F.col("_rank") % block_rows).alias("_position"),
     )
 
 

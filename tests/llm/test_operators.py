@@ -221,6 +221,28 @@ def test_mixing_refuses_more_sources_than_slots(spark):
         mixing.parts(spark.range(9).selectExpr("cast(id as string) as source", "1.0D as weight"), 5).collect()
 
 
+def check_weights(mixed, weights):
+    """Every slot has one block, and each source stays near its weight in every prefix, however long."""
+    source_at = {r._slot: r.source for r in mixed}
+    assert len(source_at) == len({(r._slot, r.source) for r in mixed}) == max(source_at) + 1
+    order, total = np.array([source_at[i] for i in range(len(source_at))]), sum(weights.values())
+    slots = np.arange(1, len(order) + 1)
+    return max(np.abs(np.cumsum(order == s) - w / total * slots).max() for s, w in weights.items())
+
+
+def test_mixing_follows_the_weights_over_many_periods(spark):
+    sizes = {"big": 4750, "tiny": 1, **{f"s{i}": 500 for i in range(19)}}
+    rows = [(n, s) for s, size in sizes.items() for n in range(size)]
+    frame = spark.createDataFrame([(i, s) for i, (_, s) in enumerate(rows)], "doc_id long, source string")
+    mixed = mixing.mix(frame, block_rows=1).collect()
+    assert {r.doc_id for r in mixed} == set(range(len(rows))) and len(mixed) > 10 * mixing.SLOTS
+    weights = {s: n**mixing.TEMPERING for s, n in sizes.items()}
+    assert check_weights(mixed, weights) < 1.5
+    wanted = spark.createDataFrame([("big", 1.0), ("tiny", 1.0)], "source string, weight double")
+    repeated = mixing.mix(frame.where("source in ('big', 'tiny')"), wanted, block_rows=1, max_epochs=None).collect()
+    assert check_weights(repeated, {"big": 1, "tiny": 1}) < 1 and sum(r.source == "tiny" for r in repeated) >= 4749
+
+
 # ---------------------------------------------------------------- 4 simhash
 def brute_fingerprint(text):
     import xxhash
