@@ -198,7 +198,8 @@ def mix(
     )
     ranked = number_within(docs, ["source"], ["doc_id"], "_rank")
     placed = (
-        ranked.join(F.broadcast(limits), F.struct(ranked["source"]) == F.col("_source"))
+        # As many rows as there are sources, so the table's size decides how it is joined.
+        ranked.join(limits, F.struct(ranked["source"]) == F.col("_source"))
         .withColumn("_first", F.floor(F.col("_rank") / block_rows))
         .withColumn("_block", F.explode(F.sequence("_first", F.col("_takes") - 1, F.col("_blocks"))))
         .withColumn("_slot", slot_of(F.col("_block"), F.col("_path")))

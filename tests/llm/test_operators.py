@@ -243,6 +243,17 @@ def test_mixing_follows_the_weights_over_many_periods(spark):
     assert check_weights(repeated, {"big": 1, "tiny": 1}) < 1 and sum(r.source == "tiny" for r in repeated) >= 4749
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    frame = spark.range(4000).selectExpr("id as doc_id", "cast(sqrt(id * 500) as int) || '.example' as source")
+    sizes = collections.Counter(r.source for r in frame.collect())
+    assert len(sizes) > mixing.SLOTS
+    mixed = mixing.mix(frame, block_rows=1).collect()
+    assert {r.doc_id for r in mixed} == set(range(4000))
+    assert check_weights(mixed, {s: n**mixing.TEMPERING for s, n in sizes.items()}) < 1.5
+    plan = mixing.mix(frame)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in plan
+
+
 # ---------------------------------------------------------------- 4 simhash
 def brute_fingerprint(text):
     import xxhash
