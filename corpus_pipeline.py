@@ -34,10 +34,14 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the least doc_id; of rows with equal doc_id in a group all stay."""
-    groups = simhash.near_duplicates(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return wrapped(docs, "doc_id").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("doc.*")
+    """One row of each SimHash group, that with the least doc_id; of rows with equal doc_id in a group one stays."""
+    # Rows get ids of their own, written once: a doc_id may stand on several rows, whose texts may differ.
+    rows = materialise(wrapped(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = simhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), F.col("doc.text").alias("text")))
+    members = groups.select(F.col("doc_id").alias("_member"), "component_id")
+    owners = rows.select("_row", F.col("doc.doc_id").alias("_doc_id")).join(members, F.col("_row") == F.col("_member"))
+    kept = owners.groupBy("component_id").agg(F.min_by("_row", F.struct("_doc_id", "_row")).alias("_kept"))
+    return rows.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -611,6 +611,15 @@ def test_pipeline_stages(spark, small, docs):
     check_packing(rows, by_doc)
 
 
+def test_pipeline_keeps_one_of_repeated_rows(spark, small):
+    """Repeated rows are copies as others are, and a doc_id on two unlike texts loses neither to the other's copy."""
+    a, b, c = ("river stone paper window", "garden music travel morning", "seven clouds over the harbour")
+    rows = [(5, a), (3, a), (5, b), (7, c), (7, c), (7, c), (None, "quiet lamps burn until dawn")]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    out = stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), small).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == [(0, rows[-1][1]), (3, a), (5, b), (7, c)]
+
+
 def test_pipeline_with_clashing_columns(spark, small):
     """Stages carry foreign columns, whatever their names, and odd rows."""
     frame = odd_docs(spark).where("doc_id is not null")
