@@ -124,3 +124,15 @@ def test_late_event_is_dropped_from_windows_only(spark, tmp_path):
     assert run() >= 1
     got = {r.window_start: r.events for r in spark.read.parquet(f"{tmp_path}/activity").collect()}
     assert got[start] == 1
+
+
+def test_activity_feed_is_spread(spark, small, monkeypatch):
+    """The feed has a file for each task, and all of them are one micro-batch."""
+    from creaseline.queries import warehouse
+
+    seen, start = [], live.start_activity
+    monkeypatch.setattr(live, "start_activity", lambda *a, **b: seen.append((a[1], start(*a, **b))) or seen[-1][1])
+    warehouse.stream_activity(spark, small).count()
+    root, query = seen[0]
+    assert len(spark.read.parquet(f"{root}/feed").inputFiles()) > 1
+    assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 1
