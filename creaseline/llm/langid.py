@@ -5,8 +5,6 @@ Features are the byte n-grams of the lower-cased text with digits and ASCII punc
 languages.  Both are trained by stochastic gradient descent (with per-coordinate step sizes) in numpy, in one task,
 on a bounded sample.  A temperature fitted on rows kept out of the descent calibrates the score; a text whose score
 is below the calibrated threshold is rejected.
-
-For prediction the table and the layer fold into one table of logits per n-gram, since the mean is linear.
 """
 
 from __future__ import annotations
@@ -14,6 +12,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creaseline.llm.common import flat_bytes, label_share, runs_by_bytes
+from creaseline.llm.common import flat_bytes, in_sample, label_share, materialise, runs_by_bytes
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -29,8 +28,11 @@ GRAMS = (3, 4)
 DIMENSION = 8
 EPOCHS, BATCH, RATE = 4, 16, 0.3
 SEED = 7
-#: Bounds of the training sample: about this many rows a language, of texts up to this many bytes.
-ROWS_PER_LANGUAGE, TRAIN_BYTES, MAX_LANGUAGES = 400, 1 << 16, 256
+#: Bounds of the training sample: about this many rows a language, of texts up to this many bytes, and about this many
+#: bytes in all, of which each language has an equal part.
+ROWS_PER_LANGUAGE, TRAIN_BYTES, TRAIN_TOTAL_BYTES = 400, 1 << 16, 1 << 26
+#: Bytes whose n-grams are looked at together.
+WINDOW = 1 << 20
 #: Of the correct predictions kept for calibration, this share may fall below the threshold, which is at most 0.5.
 REJECTED_SHARE, MAX_THRESHOLD = 0.002, 0.5
 UNKNOWN = "und"
@@ -42,11 +44,17 @@ _SPACED = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256
 @dataclass
 class Model:
     languages: list[str]
-    logits: np.ndarray  # BUCKETS x languages
+    table: np.ndarray  # BUCKETS x dimension
+    layer: np.ndarray  # dimension x languages
     temperature: float
     threshold: float
 
 
+def folded(table: np.ndarray, layer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as one table of logits, since the mean is linear, where that is no wider than the embedding."""
+    return (table @ layer, np.eye(layer.shape[1])) if layer.shape[1] <= layer.shape[0] else (table, layer)
+
+
 def gram_buckets(data: np.ndarray, n: int) -> np.ndarray:
     """Bucket of the n-gram that begins at each byte; the last n - 1 bytes begin none."""
     length = max(0, len(data) - n + 1)
@@ -57,24 +65,32 @@ def gram_buckets(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def text_grams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For runs of texts: their range, and for all their n-grams the text's number in the run and the bucket."""
+    """For runs of texts: their range, and for their n-grams the text's number in the run and the bucket.
+
+    A run of one very long text comes in several parts with the same range, each with some of its n-grams.
+    """
     for start, end in runs_by_bytes(pc.binary_length(texts).fill_null(0).to_numpy()):
         # Only a run's texts are copied.  A space on both sides; n-grams across texts are left out.
         offsets, data = flat_bytes(pc.utf8_lower(texts.slice(start, end - start)))
         sizes = np.diff(offsets) + 2
-        padded = np.full(int(sizes.sum()), 32, np.uint8)
-        owner = np.repeat(np.arange(end - start, dtype=np.int32), sizes)
-        inner = np.ones(len(padded), bool)
         edges = np.cumsum(sizes)
+        padded = np.full(int(edges[-1]), 32, np.uint8)
+        inner = np.ones(len(padded), bool)
         inner[edges - 1] = inner[edges - sizes] = False
         padded[inner] = _SPACED[data]
-        owners, buckets = [], []
-        for n in GRAMS:
-            b = gram_buckets(padded, n)
-            same = owner[: len(b)] == owner[n - 1 :]
-            owners.append(owner[: len(b)][same])
-            buckets.append(b[same])
-        yield start, end, np.concatenate(owners), np.concatenate(buckets)
+        for at in range(0, len(padded), WINDOW):
+            part = padded[at : at + WINDOW + max(GRAMS) - 1]
+            stop = at + len(part)
+            # Owners of the bytes of this window alone, so that a long text needs no array of its length.
+            low, high = np.searchsorted(edges, [at, stop - 1], side="right")
+            owner = np.repeat(np.arange(low, high + 1, dtype=np.int32), np.diff(np.minimum(edges[low : high + 1], stop), prepend=at))
+            owners, buckets = [], []
+            for n in GRAMS:
+                b = gram_buckets(part[: WINDOW + n - 1], n)
+                same = owner[: len(b)] == owner[n - 1 : n - 1 + len(b)]
+                owners.append(owner[: len(b)][same])
+                buckets.append(b[same])
+            yield start, end, np.concatenate(owners), np.concatenate(buckets)
 
 
 def has_letter(texts: pa.Array) -> np.ndarray:
@@ -82,13 +98,13 @@ def has_letter(texts: pa.Array) -> np.ndarray:
 
 
 def mean_logits(model: Model, texts: pa.Array) -> np.ndarray:
-    out = np.zeros((len(texts), len(model.languages)))
+    means, counts = np.zeros((len(texts), model.table.shape[1])), np.zeros(len(texts))
     for start, end, owner, bucket in text_grams(texts):
         n = end - start
-        count = np.maximum(np.bincount(owner, minlength=n), 1)
-        for k in range(len(model.languages)):
-            out[start:end, k] = np.bincount(owner, weights=model.logits[:, k][bucket], minlength=n) / count
-    return out
+        counts[start:end] += np.bincount(owner, minlength=n)
+        for k in range(means.shape[1]):
+            means[start:end, k] += np.bincount(owner, weights=model.table[:, k][bucket], minlength=n)
+    return means / np.maximum(counts, 1)[:, None] @ model.layer
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -111,14 +127,15 @@ def train(texts: list[str], languages: list[str]) -> Model:
     """Fits a model; every fifth row calibrates it and takes no part in the descent."""
     names = sorted(set(languages))
     if not names:
-        return Model([], np.zeros((BUCKETS, 0)), 1.0, 0.0)
-    label = np.array([names.index(x) for x in languages])
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)), 1.0, 0.0)
+    number = {name: i for i, name in enumerate(names)}
+    label = np.array([number[x] for x in languages])
     random = np.random.default_rng(SEED)
     grams: list = []
-    for start, end, owner, bucket in text_grams(pa.array(texts, pa.string())):
-        keys, counts = np.unique(owner.astype(np.int64) * BUCKETS + bucket, return_counts=True)
-        of = keys // BUCKETS
-        cuts = np.searchsorted(of, np.arange(end - start + 1))
+    for (start, end), parts in groupby(text_grams(pa.array(texts, pa.string())), key=lambda g: g[:2]):
+        marks = np.concatenate([owner.astype(np.int64) * BUCKETS + bucket for _, _, owner, bucket in parts])
+        keys, counts = np.unique(marks, return_counts=True)
+        cuts = np.searchsorted(keys // BUCKETS, np.arange(end - start + 1))
         grams += [(keys[a:b] % BUCKETS, counts[a:b] / max(1, counts[a:b].sum())) for a, b in zip(cuts, cuts[1:])]
     held = np.arange(len(texts)) % 5 == 4
     rows = np.flatnonzero(~held)
@@ -146,7 +163,7 @@ def train(texts: list[str], languages: list[str]) -> Model:
             total = np.stack([np.bincount(inverse, weights=back[:, d]) for d in range(DIMENSION)], axis=1)
             table_sum[unique] += total**2
             table[unique] -= rate * total / np.sqrt(table_sum[unique])
-    model = Model(names, table @ layer, 1.0, 0.0)
+    model = Model(names, *folded(table, layer), 1.0, 0.0)
     check = np.flatnonzero(held)
     if len(check):
         z = mean_logits(model, pa.array([texts[i] for i in check], pa.string()))
@@ -170,22 +187,32 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learns from text and non-null lang of rows that are not :func:`held_out`; the sample is bounded, see above."""
+    """Learns from text and non-null lang of rows that are not :func:`held_out`; the sample is bounded, see above.
+
+    Every language takes part, however rare or frequent; texts over ``TRAIN_BYTES`` are predicted but not learnt from.
+    """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True))
         & (F.octet_length("text") <= TRAIN_BYTES)
     ).select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.xxhash64("doc_id").alias("mix"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    share = F.lit(0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], int(1e6 * min(1.0, ROWS_PER_LANGUAGE / row["count"]))).otherwise(share)
-    sample = usable.where(F.pmod("mix", F.lit(1_000_000)) < share).repartition(1)
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    # Written, so that its size is known and Spark broadcasts it if it is small: a corpus may have any number of names.
+    sizes = materialise(sizes, "languages")
+    each = TRAIN_TOTAL_BYTES / max(1, sizes.count())
+    wanted = F.least(F.lit(float(ROWS_PER_LANGUAGE)), F.lit(each) * F.col("n") / F.greatest("bytes", F.lit(1)))
+    shares = sizes.select(F.col("lang").alias("_of"), "n", wanted.alias("wanted"))
+    sample = usable.join(shares, F.col("lang") == F.col("_of")).where(in_sample(F.col("mix"), F.col("wanted"), F.col("n")))
+    sample = sample.select("mix", "doc_id", "text", "lang").repartition(1)
     rows = sample.mapInArrow(_train_batches, "model binary").collect()
     return Model(**pickle.loads(rows[0]["model"])) if rows else train([], [])
 
 
 def languages(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``_language`` (lang, score, rejected), predicted from the text alone."""
+    """All columns of ``docs`` and ``_language`` (lang, score, rejected), predicted from the text alone.
+
+    A column that is called ``_language`` already is replaced; repeated rows stay, with equal predictions; an empty
+    table gives no row.  Texts of any length are read in windows.
+    """
 
     def run(texts: pa.Array) -> pa.Array:
         lang, score, rejected = predict(model, texts)

@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creaseline.llm.common import materialise
+from creaseline.llm.common import materialise, pieces
 from creaseline.llm.components import connected_components
 
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 3
+#: Bytes of a text that are looked at together.
+PART = 1 << 17
 #: Widths of the blocks of a fingerprint, from its low end.
 BLOCKS = (13, 13, 13, 13, 12)
 
@@ -33,34 +35,37 @@ def text_fingerprint(text: bytes | None, words_per_shingle: int = SHINGLE_WORDS,
     """
     import xxhash
 
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) < words_per_shingle:
-        spans = [(0, len(joined))]
-    else:
+    digest = xxhash.xxh64_intdigest
+    ones, total, words = np.zeros(64, np.int64), 0, []
+    for part in pieces(text or b"", PART):
+        # The last words of a part begin the shingles that go on in the next.
+        words = words[max(0, len(words) - words_per_shingle + 1) :] + part.lower().split()
+        n = len(words) - words_per_shingle + 1
+        if n < 1:
+            continue
+        joined = b" ".join(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes + 1) - 1
-        starts = ends - sizes
-        n = len(words) - words_per_shingle + 1
-        spans = zip(starts[:n].tolist(), ends[words_per_shingle - 1 :].tolist())
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in spans], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+        spans = zip((ends - sizes)[:n].tolist(), ends[words_per_shingle - 1 :].tolist())
+        hashes = np.fromiter((digest(joined[a:b], seed) for a, b in spans), "<u8", n)
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        total += n
+    if not total:
+        return digest(b" ".join(words), seed) if words else 0
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(texts: pa.Array) -> pa.Array:
-    values = [text_fingerprint(text) for text in texts.cast(pa.large_binary()).to_pylist()]
+    values = [text_fingerprint(text.as_py()) for text in texts.cast(pa.large_binary())]
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint`` (its 64 bits as a long)."""
+    """``doc_id, fingerprint`` (its 64 bits as a long): one row per row of ``docs``.
+
+    Null, empty and wordless texts have fingerprint 0; repeated rows and a null doc_id stay; an empty table gives no
+    row.  Texts are read in parts, so that a very long one costs little more memory than its own bytes.
+    """
     fingerprint = F.arrow_udf(_fingerprints, "long")
     return docs.select(F.col("doc_id").cast("long"), fingerprint("text").alias("fingerprint"))
 
@@ -89,8 +94,9 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id``: one row per row of ``docs``.
 
     component_id is the least doc_id reachable over links of at most ``max_bits`` differing bits.  Needs doc_id
-    and text; other columns are ignored; null, empty and wordless texts have fingerprint 0 and link like others;
-    an empty table gives no row.
+    and text; other columns are ignored; null, empty and wordless texts have fingerprint 0 and link like others.
+    Rows with a null doc_id link like others and name no component unless a group has no other id (then null).
+    Repeated rows stay; equal ids are one member.  An empty table gives no row.
     """
     marked = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "classes")
