@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import heapq
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,23 +50,15 @@ def room(loads: list[int], rest: int) -> list[float]:
     return [max(0.0, level - load) for load in loads]
 
 
-def _large(shards: int):
-    def run(groups: pd.DataFrame) -> pd.DataFrame:
-        groups = groups.sort_values(["bytes", "group"], ascending=[False, True], kind="stable")
-        shard = longest_first(groups["bytes"].tolist(), [0.0] * shards)
-        return pd.DataFrame({"group": groups["group"], "bytes": groups["bytes"], "shard": shard})
-
-    return run
-
-
 def _bucket(quota: list[float]):
     whole = sum(quota) or 1.0
 
-    def run(groups: pd.DataFrame) -> pd.DataFrame:
-        groups = groups.sort_values(["bytes", "group"], ascending=[False, True], kind="stable")
-        mine = int(groups["bytes"].sum())
-        shard = longest_first(groups["bytes"].tolist(), [-q / whole * mine for q in quota])
-        return pd.DataFrame({"group": groups["group"], "shard": shard})
+    def run(groups: pa.Table) -> pa.Table:
+        groups = groups.sort_by([("bytes", "descending"), ("group", "ascending")])
+        sizes = groups["bytes"].to_pylist()
+        mine = sum(sizes)
+        shard = longest_first(sizes, [-q / whole * mine for q in quota])
+        return pa.table({"group": groups["group"], "shard": pa.array(shard, pa.int32())})
 
     return run
 
@@ -90,23 +82,22 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = materialise(sized.groupBy("group").agg(F.sum("size").alias("bytes")), "groups")
     number, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     limit = max(1.0, total / shards / LARGE_SHARE)
-    large = groups.where(F.col("bytes") >= limit)
-    # shards * LARGE_SHARE rows at most.
-    placed = materialise(
-        large.groupBy(F.lit(0).alias("_all")).applyInPandas(_large(shards), "group binary, bytes long, shard int"),
-        "large-groups",
-    )
-    loads = {r["shard"]: r["b"] for r in placed.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
-    loads = [loads.get(s, 0) for s in range(shards)]
+    # Every large group holds 1 / (shards * LARGE_SHARE) of all bytes, so these are shards * LARGE_SHARE rows at most.
+    large = groups.where(F.col("bytes") >= limit).orderBy(F.desc("bytes"), "group").collect()
+    chosen = longest_first([r["bytes"] for r in large], [0.0] * shards)
+    loads = [0] * shards
+    for row, shard in zip(large, chosen):
+        loads[shard] += row["bytes"]
+    placed = docs.sparkSession.createDataFrame([(r["group"], s) for r, s in zip(large, chosen)], "group binary, shard int")
     quota = room(loads, total - sum(loads))
     buckets = -(-number // BUCKET_GROUPS) or 1
     small = (
         groups.where(F.col("bytes") < limit)
         .withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
         .groupBy("bucket")
-        .applyInPandas(_bucket(quota), "group binary, shard int")
+        .applyInArrow(_bucket(quota), "group binary, shard int")
     )
-    homes = small.unionByName(placed.select("group", "shard")).withColumnRenamed("group", "_group")
+    homes = small.unionByName(placed).withColumnRenamed("group", "_group")
     homed = materialise(
         sized.join(homes, F.col("group") == F.col("_group")).select("doc_id", "size", "text_crc32", "shard"), "homes"
     )
