@@ -189,7 +189,9 @@ def near_duplicate_vectors(
     Needs vec_id and embedding (array of numbers); other columns are ignored.  n_links counts the other rows whose
     cosine is at least ``min_cosine``, as far as hashing finds them; equal vectors always link.  Vectors that are
     null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths don't
-    link.  component_id is the least vec_id reachable.  An empty table gives no row.
+    link.  component_id is the least vec_id reachable.  A null vec_id links like others but names a component only if
+    no other id is in it (then null, and kept).  Repeated rows are rows of their own that link.  An empty table gives
+    no row.
     """
     hashed = _hash_vectors(tables, functions, probes)
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -235,5 +237,5 @@ def near_duplicate_vectors(
     component = F.coalesce("_component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"), (F.col("vec_id") == component).alias("kept"),
+        component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"),
     )

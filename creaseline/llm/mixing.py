@@ -26,8 +26,13 @@ WEIGHT_SUM = 1 << 40
 LEVELS = 42
 #: Weights by default: the source's share of rows to this power, so that large sources count a little less.
 TEMPERING = 0.9
-#: A source that is smaller than its weight asks for is repeated this often at most; its later slots stay empty.
-MAX_EPOCHS = 4
+#: Repetitions of a source that is smaller than its weight asks for; None: as many as its weight asks for.  With a
+#: number its later slots stay empty, so the mixture leaves its weights.
+MAX_EPOCHS = None
+#: Repetitions of a row that are listed together.
+STRIDE = 64
+#: Columns that :func:`mix` adds.
+PLACE = ("_epoch", "_block", "_slot", "_position")
 
 
 def tempered_weights(docs: DataFrame, power: float = TEMPERING) -> DataFrame:
@@ -180,8 +185,8 @@ def mix(
     The mixture ends when every row was placed once; until then sources that ran out are repeated, up to
     ``max_epochs`` times (None: as often as their weight asks), so no row is dropped.  Needs doc_id and source; a
     null source is a source of its own; sources without a weight are left out.  Rows of a source come in a
-    pseudo-random order that depends on doc_id alone; rows with equal doc_id are rows of their own.  An empty table
-    gives no row.  ``slots`` is without effect: the schedule has no period.
+    pseudo-random order that depends on doc_id alone; rows with equal doc_id, or none, are rows of their own.  Columns
+    of ``docs`` may have any names; one that is called like an added column is replaced.  An empty table gives no row.  ``slots`` is without effect: the schedule has no period.
     """
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     weights = tempered_weights(docs) if weights is None else weights
@@ -196,20 +201,23 @@ def mix(
     limits = materialise(
         known.crossJoin(last).select(F.col("_of").alias("_source"), "_path", "_blocks", takes.alias("_takes")), "limits"
     )
-    ranked = number_within(docs, ["source"], ["doc_id"], "_rank")
-    placed = (
-        # As many rows as there are sources, so the table's size decides how it is joined.
-        ranked.join(limits, F.struct(ranked["source"]) == F.col("_source"))
-        .withColumn("_first", F.floor(F.col("_rank") / block_rows))
-        .withColumn("_block", F.explode(F.sequence("_first", F.col("_takes") - 1, F.col("_blocks"))))
-        .withColumn("_slot", slot_of(F.col("_block"), F.col("_path")))
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    ranked = number_within(docs.select(row, F.col("source").alias("of"), F.col("doc_id").alias("id")), ["of"], ["id"], "rank")
+    # As many rows as there are sources, so the table's size decides how it is joined.
+    joined = ranked.join(limits, F.struct(ranked["of"].alias("source")) == F.col("_source"))
+    first = joined.withColumn("first", F.floor(F.col("rank") / block_rows))
+    # A row's blocks in two steps, so that no row holds a list of all its repetitions.
+    stride = F.col("_blocks") * STRIDE
+    runs = first.withColumn("run", F.explode(F.sequence("first", F.col("_takes") - 1, stride)))
+    last = F.least(F.col("_takes") - 1, F.col("run") + stride - F.col("_blocks"))
+    placed = runs.withColumn("block", F.explode(F.sequence("run", last, "_blocks"))).withColumn("slot", slot_of(F.col("block"), F.col("_path")))
+    kept = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in PLACE]
     return placed.select(
-        *[ranked[c] for c in docs.columns],
-        F.floor(F.col("_block") / F.col("_blocks")).alias("_epoch"),
-        F.col("_block"),
-        F.col("_slot"),
-        (F.col("_slot") * block_rows + F.col("_rank") % block_rows).alias("_position"),
+        *kept,
+        F.floor(F.col("block") / F.col("_blocks")).alias("_epoch"),
+        F.col("block").alias("_block"),
+        F.col("slot").alias("_slot"),
+        (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("_position"),
     )
 
 
