@@ -1,8 +1,10 @@
-"""Tables on a columnar path: scans, full refresh, staged replacement, idempotent micro-batches.
+"""Tables on a columnar path: scans, full refresh, partition-wise replacement, idempotent micro-batches.
 
-``fmt`` is ``parquet``, or ``delta`` where its jar is on the class path.  A Parquet path is never overwritten while
-it is read: new content goes to a version folder next to it, and a one-line pointer file says which one is current and
-what its schema is, so that an empty table can be read too.
+``fmt`` is ``parquet``, or ``delta`` where its jar is on the class path.  A Parquet table never changes a file.  Each
+write goes to a version folder of its own, and then a numbered pointer is renamed into place, which lists the folders
+of all live partitions and the schema; the highest number is the table.  So a run that breaks off leaves the table as
+it was, and a replacement carries over the folders of partitions that it does not touch.  The last pointer but one and
+its files stay for readers that began before; older ones go.  A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -10,8 +12,11 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,6 +24,9 @@ from creaseline.operators.keyed import replace_for_ids
 
 #: Rows of a file; keeps files readable by one task without forcing a partition into one file.
 FILE_ROWS = 5_000_000
+POINTERS, VERSION = "_pointers", "_v"
+#: Pointers that stay: the table and the state before it.
+KEPT = 2
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -31,63 +39,131 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
-def _pointer(spark: SparkSession, path: str) -> dict | None:
-    pointer = f"{path}/_current"
-    return json.loads(spark.read.text(pointer).first()[0]) if exists(spark, pointer) else None
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    jvm_path, fs = _hadoop(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(jvm_path) or [])
+
+
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    """Pointers from the oldest to the newest."""
+    return _matching(spark, f"{path}/{POINTERS}/n*")
+
+
+def _load(spark: SparkSession, pointer: str) -> dict:
+    return json.loads(spark.read.text(pointer).first()[0])
 
 
 def current(spark: SparkSession, path: str) -> str | None:
-    """The folder of a table's current version, or None without one."""
-    pointer = _pointer(spark, path)
-    return f"{path}/{pointer['version']}" if pointer else None
+    """The pointer of a table's current state, or None without one."""
+    found = _pointers(spark, path)
+    return found[-1] if found else None
+
+
+def _scan(spark: SparkSession, path: str, schema: StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
 
 
 def read(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    pointer = _pointer(spark, path) if fmt != "delta" else None
+    pointer = current(spark, path) if fmt != "delta" else None
     if pointer is None:
         return spark.read.format(fmt).load(path)
-    return spark.read.schema(StructType.fromJson(pointer["schema"])).parquet(f"{path}/{pointer['version']}")
+    state = _load(spark, pointer)
+    schema = StructType.fromJson(state["schema"])
+    return _scan(spark, path, schema, state["folders"]).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
-def _publish(spark: SparkSession, path: str, version: str, schema: StructType) -> None:
-    """Points to a version: the pointer is written aside and renamed, so a reader sees the old or the new one."""
-    aside = f"{path}/_next-{version}"
-    line = json.dumps({"version": version, "schema": json.loads(schema.json())})
+def _publish(spark: SparkSession, path: str, folders: list[str], schema: StructType) -> None:
+    """Makes these folders the table: the pointer is written aside and renamed, so a reader sees the old or the new."""
+    before = _pointers(spark, path)
+    number = int(before[-1].rpartition("/n")[2]) + 1 if before else 1
+    aside = f"{path}/_aside-{uuid.uuid4().hex}"
+    line = json.dumps({"folders": folders, "schema": json.loads(schema.json())})
     spark.createDataFrame([(line,)], "v string").coalesce(1).write.text(aside)
     source, fs = _hadoop(spark, aside)
-    target, _ = _hadoop(spark, f"{path}/_current")
-    old = current(spark, path)
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"can't publish {version} of {path}")
-    if old:
-        fs.delete(_hadoop(spark, old)[0], True)
+    target, _ = _hadoop(spark, f"{path}/{POINTERS}/n{number:012d}")
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"can't publish pointer {number} of {path}")
+    _forget(spark, path, before[: len(before) + 1 - KEPT], [*before[len(before) + 1 - KEPT :], str(target)])
+
+
+def _forget(spark: SparkSession, path: str, old: list[str], kept: list[str]) -> None:
+    """Deletes old pointers and the folders that only they name."""
+    if not old:
+        return
+    live = {f for p in kept for f in _load(spark, p)["folders"]}
+    for pointer in old:
+        for folder in set(_load(spark, pointer)["folders"]) - live:
+            jvm_path, fs = _hadoop(spark, f"{path}/{folder}")
+            fs.delete(jvm_path, True)
+        jvm_path, fs = _hadoop(spark, pointer)
+        fs.delete(jvm_path, True)
+
+
+def _store(df: DataFrame, path: str, partition_by: Sequence[str]) -> list[str]:
+    """Writes a version folder; the folders of its partitions.  Spark spreads a partition's rows by its size."""
+    spark, version = df.sparkSession, f"{VERSION}={uuid.uuid4().hex}"
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.option("maxRecordsPerFile", FILE_ROWS)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/{version}")
+    if not partition_by:
+        return [version]
+    found = _matching(spark, f"{path}/{version}" + "/*=*" * len(partition_by))
+    return [version + f.rpartition(f"/{version}")[2] for f in found]
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full refresh.  Rows of a partition value meet in as few files as ``FILE_ROWS`` allows, not in one."""
-    spark = df.sparkSession
-    spread = df.repartition(*[F.col(c) for c in partition_by], F.pmod(F.monotonically_increasing_id(), F.lit(8))) if partition_by else df
-    writer = spread.write.option("maxRecordsPerFile", FILE_ROWS)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    """Full refresh.  Rows of a partition value meet in as few files as their size allows, not in one."""
     if fmt == "delta":
-        writer.format("delta").mode("overwrite").option("overwriteSchema", "true").save(path)
+        writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
         return
-    version = f"v-{uuid.uuid4().hex}"
-    writer.parquet(f"{path}/{version}")
-    _publish(spark, path, version, df.schema)
+    _publish(df.sparkSession, path, _store(df, path, partition_by), df.schema)
+
+
+def _equals(values: dict) -> Column:
+    return reduce(and_, [F.col(f"`{name}`").eqNullSafe(F.lit(value)) for name, value in values.items()])
 
 
 def replace_ids(spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Replaces all rows of ``ids`` in a table, also of ids that now have no rows; makes the table if it is missing."""
-    there = current(spark, path) is not None if fmt != "delta" else exists(spark, path)
-    overwrite(replace_for_ids(read(spark, path, fmt), ids, new, key) if there else new, path, partition_by, fmt)
+    """Replaces all rows of ``ids`` in a table, also of ids that now have no rows; makes the table if it is missing.
+
+    Only partitions that hold rows of ``ids`` are written again; the others keep their files, and new rows of a
+    partition stand beside them.  If ``ids`` has the partition columns as well, an id's rows are looked for there only.
+    """
+    if fmt == "delta":
+        there = exists(spark, path)
+        overwrite(replace_for_ids(read(spark, path, fmt), ids, new, key) if there else new, path, partition_by, fmt)
+        return
+    pointer = current(spark, path)
+    if pointer is None:
+        overwrite(new, path, partition_by)
+        return
+    state = _load(spark, pointer)
+    schema, folders = StructType.fromJson(state["schema"]), state["folders"]
+    held = _scan(spark, path, schema, folders)
+    keys = [key, *[c for c in partition_by if c in ids.columns]]
+    if len(keys) > 1:
+        # As many values as there are touched partitions; as literals they prune the scan.
+        values = ids.select(*keys[1:]).distinct().collect()
+        held = held.where(reduce(or_, [_equals(row.asDict()) for row in values], F.lit(False)))
+    inside = F.regexp_extract("_metadata.file_path", f"/({VERSION}=[^/]*" + "/[^/]*=[^/]*" * len(partition_by) + ")/[^/]*$", 1)
+    touched: set[str] = set()
+    if folders:
+        hit = held.select(*keys, inside.alias("_in")).join(ids.select(*keys).distinct(), keys, "left_semi")
+        # At most a row for each partition; file_path is a URI, so its signs are encoded once more than in a folder's name.
+        touched = {unquote(r[0]) for r in hit.select("_in").distinct().collect()}
+    kept = [f for f in folders if f not in touched]
+    again = _scan(spark, path, schema, [f for f in folders if f in touched]).select(*[F.col(f"`{c}`") for c in schema.names])
+    changed = replace_for_ids(again, ids, new, key)
+    _publish(spark, path, kept + _store(changed, path, partition_by), changed.schema)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """A micro-batch in a partition of its own; writing the batch again replaces it, so it counts once."""
-    spread = df.withColumn("ingest_batch_id", F.lit(batch_id).cast("bigint"))
+    rows = df.hint("rebalance", *partition_by) if partition_by else df  # few files a partition, by size
+    spread = rows.withColumn("ingest_batch_id", F.lit(batch_id).cast("bigint"))
     (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS)
      .partitionBy("ingest_batch_id", *partition_by).parquet(path))
 

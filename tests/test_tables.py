@@ -4,6 +4,7 @@ import json
 import sys
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -107,3 +108,65 @@ def test_refresh_touches_changed_matches_only(spark, tmp_path):
     assert again["deliveries"].count() == again["deliveries"].select("delivery_id").distinct().count()
     results = spark.read.parquet(f"{root}/ops/results")
     assert results.select("run_id").distinct().count() == 3 and results.count() == 3 * 20
+
+
+def table_files(spark, path):
+    return {f.rpartition(path)[2] for f in tables.read(spark, path).inputFiles()}
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, f"part {i % 4}/%") for i in range(40)] + [(100, None)]
+    tables.overwrite(spark.createDataFrame(rows, "id int, p string"), path, ["p"])
+    before = table_files(spark, path)
+    ids = spark.createDataFrame([(1,), (5,), (100,), (777,)], "id int")
+    new = spark.createDataFrame([(1, "part 1/%"), (5, "part 2/%"), (777, "fresh")], "id int, p string")
+    tables.replace_ids(spark, new, ids, path, "id", ["p"])
+    got = sorted(tuple(r) for r in tables.read(spark, path).collect())
+    assert got == sorted([r for r in rows if r[0] not in (1, 5, 100)] + [(1, "part 1/%"), (5, "part 2/%"), (777, "fresh")])
+    after = table_files(spark, path)
+    for name in ("0", "2", "3"):
+        mine = {f for f in before if f"part {name}" in f.replace("%2520", " ").replace("%20", " ")}
+        assert mine and mine <= after
+    assert not any("part 1" in f.replace("%2520", " ").replace("%20", " ") for f in before & after)
+
+
+def test_ids_with_partition_columns_are_looked_for_there_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(30).selectExpr("id", "id % 3 as b"), path, ["b"])
+    ids = spark.createDataFrame([(4, 1), (5, 0)], "id long, b long")
+    tables.replace_ids(spark, ids.limit(0), ids, path, "id", ["b"])
+    # 5 is in part 2, and nobody looked there; only part 1 was written again.
+    assert sorted(r.id for r in tables.read(spark, path).collect()) == [i for i in range(30) if i != 4]
+
+
+@pytest.mark.parametrize("step", ["_store", "rename", "_forget"])
+def test_a_broken_off_write_leaves_the_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(3), path)
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        if step == "rename":
+            load = tables._hadoop
+            patched.setattr(tables, "_hadoop", lambda s, p: fail() if "/n0" in p else load(s, p))
+        else:
+            patched.setattr(tables, step, fail)
+        with pytest.raises(RuntimeError):
+            tables.overwrite(spark.range(9), path)
+    assert tables.read(spark, path).count() == (9 if step == "_forget" else 3)
+    tables.overwrite(spark.range(5), path)
+    assert tables.read(spark, path).count() == 5
+
+
+def test_a_reader_from_before_still_finds_its_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(3), path)
+    reader = tables.read(spark, path)
+    tables.overwrite(spark.range(9), path)
+    assert reader.count() == 3 and tables.read(spark, path).count() == 9
+    tables.overwrite(spark.range(4).where("id < 0"), path)
+    assert tables.read(spark, path).count() == 0
+    assert len(list((tmp_path / "t").glob("_v=*"))) == 2
