@@ -84,6 +84,26 @@ def result_text() -> Column:
     )
 
 
+def stage(recorded: Column | str) -> Column:
+    """A match without a named stage belongs to the league."""
+    return F.coalesce(col(recorded), F.lit("League"))
+
+
+def winner_of(outright: Column | str, super_over: Column | str, bowl_out: Column | str) -> Column:
+    """Who won, in play or by what decides a tie."""
+    return F.coalesce(col(outright), col(super_over), col(bowl_out))
+
+
+def loser(winner: Column, first: Column, second: Column) -> Column:
+    """The side that did not win; null without a winner."""
+    return F.when(winner.isNotNull(), F.when(winner == first, second).otherwise(first))
+
+
+def result_kind(outright: Column | str, recorded: Column | str) -> Column:
+    """``win`` with an outright winner, else the recorded result in one word (``tie``, ``no_result``), or ``unknown``."""
+    return F.when(col(outright).isNotNull(), "win").otherwise(F.coalesce(F.replace(col(recorded), F.lit(" "), F.lit("_")), F.lit("unknown")))
+
+
 def is_kind(kinds: tuple[str, ...]):
     return lambda wicket: wicket["kind"].isin(*kinds)
 

@@ -233,6 +233,11 @@ _BUILT: dict[str, Callable[[Data], DataFrame]] = {
     "innings_summary": lambda d: flat(marts.innings_summary(d.matches, d.innings), *K, "season", "match_date", "stage", "venue", "score_text", "all_out"),
     "match_summary": lambda d: flat(d.summary, "match_id", "season", "first_batting_team", "first_innings_score", "second_batting_team", "second_innings_score"),
     "result_text": lambda d: flat(d.summary, "match_id", "result_type", "winner", "result_text", "player_of_match"),
+    "innings_flags": lambda d: flat(d.innings, *K, "target_overs", "declared", "forfeited", "scheduled_overs", "scheduled_balls", "delivery_runs", "penalty_runs_post"),
+    "innings_summary_all": lambda d: flat(marts.innings_summary(d.matches, d.innings), *K, "season", "match_date", "stage", "venue", "is_super_over", "batting_team", "bowling_team", "runs", "wickets",
+                                          "legal_balls", "official_balls", "overs", "run_rate", "extras", "wides", "noballs", "byes", "legbyes", "fours", "sixes", "dot_balls", "all_out",
+                                          "target_runs", "target_balls", "score_text"),
+    "match_summary_all": lambda d: flat(d.summary),
     "batting_scorecard": lambda d: flat(d.batting, *K, "batter", "batting_position", "runs", "balls", "fours", "sixes", "dots", "dismissal_kind", "dismissal_bowler",
                                         "dismissal_fielders", "is_out", "fall_of_wicket_number", "fall_of_wicket_score", "fall_of_wicket_ball", "strike_rate", "player_id"),
     "bowling_scorecard": lambda d: flat(d.bowling, *K, "bowler", "bowling_order", "balls", "runs_conceded", "wickets", "dots", "maidens", "wides", "noballs", "overs", "economy", "player_id"),

@@ -166,6 +166,13 @@ _SELECT = {
     "innings_summary": """SELECT ix.match_id, innings_number, ix.season, match_date::VARCHAR AS match_date, stage, venue, score_text, all_out FROM ix JOIN mt USING (m)""",
     "match_summary": "SELECT match_id, season, first_batting_team, first_innings_score, second_batting_team, second_innings_score FROM sm",
     "result_text": "SELECT match_id, result_type, winner, result_text, player_of_match FROM sm",
+    "innings_flags": f"""SELECT {_K}, (target_balls // 6)::DOUBLE AS target_overs, false AS declared, false AS forfeited, 20 AS scheduled_overs, 120 AS scheduled_balls, ball_runs AS delivery_runs,
+        0 AS penalty_runs_post FROM ix""",
+    "innings_summary_all": """SELECT ix.match_id, innings_number, ix.season, match_date::VARCHAR AS match_date, stage, venue, is_super_over, batting_team, bowling_team, runs, wickets, legal_balls, official_balls,
+        overs, run_rate, extras, wides, noballs, byes, legbyes, fours, sixes, dot_balls, all_out, target_runs, target_balls, score_text FROM ix JOIN mt USING (m)""",
+    "match_summary_all": """SELECT sm.match_id, sm.season, mt.match_date::VARCHAR AS match_date, mt.m AS match_number, mt.stage, mt.is_playoff, mt.venue, mt.city, mt.t1 AS team1, mt.t2 AS team2, mt.toss_winner,
+        mt.toss_decision, first_batting_team, first_innings_score, second_batting_team, second_innings_score, mt.result_type, mt.winner, mt.result_method, result_text, sm.player_of_match
+        FROM sm JOIN mt ON sm.match_id = mt.match_id""",
     "batting_scorecard": f"""SELECT {_K}, batter, batting_position, runs, balls, fours, sixes, dots, dismissal_kind, dismissal_bowler, dismissal_fielders, is_out, fall_of_wicket_number, fall_of_wicket_score,
         fall_of_wicket_ball, strike_rate, player_id FROM bt""",
     "bowling_scorecard": f"SELECT {_K}, bowler, bowling_order, balls, runs_conceded, wickets, dots, maidens, wides, noballs, overs, economy, player_id FROM bw",

@@ -217,6 +217,21 @@ def sink_append_batches(spark, sf_dir):
     return flat(spark.read.parquet(path), "o_orderkey", "o_orderstatus", "ingest_batch_id")
 
 
+def sink_append_all(spark, sf_dir):
+    """All orders as four micro-batches, the third written twice: its rows count once."""
+    path, orders = scratch_path(spark, "batches"), _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", F.pmod("o_custkey", F.lit(4)).alias("part"))
+    for batch_id in (0, 1, 2, 2, 3):
+        tables.append_batch(orders.where(F.col("part") == batch_id).drop("part"), path, batch_id)
+    return flat(spark.read.parquet(path), "o_orderkey", "o_orderstatus", "ingest_batch_id")
+
+
+def merge_all(spark, sf_dir):
+    """All customers: two in three are held, and two in three come with an upsert, so each is on a side or on both."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    news = c.where("c_custkey % 3 <> 1").withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    return flat(keyed.merge_upsert(c.where("c_custkey % 3 <> 2"), news, ["c_custkey"]))
+
+
 def adhoc_sql(spark, sf_dir):
     tables.views(spark, {n: table(spark, sf_dir, n) for n in ("orders", "customer")})
     return flat(spark.sql("""SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
@@ -228,7 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_per_key, dedupe_first, pending_versions, replace_for_ids, merge_insert_only, merge_upsert, merge_coalesce, first_appearance_order, partition_count, landing_classify,
         landing_lineage, landing_problems, dq_unique_key, dq_orphans, dq_parent_reconcile_orders, live_board, latest_run_rows, activity_windows, feed_activity, dlq_by_reason,
-        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, adhoc_sql,
+        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, merge_all, adhoc_sql,
     )
 }
 
@@ -270,6 +285,8 @@ ORACLE_SQL = {
     "sink_replace_ids": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey % 10 <> 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer)
         UNION ALL SELECT o_orderkey, o_custkey, 'N' FROM orders WHERE o_custkey % 20 = 0""",
     "sink_append_batches": "SELECT o_orderkey, o_orderstatus, o_orderkey % 3 AS ingest_batch_id FROM orders WHERE o_orderkey % 3 < 2",
+    "sink_append_all": "SELECT o_orderkey, o_orderstatus, o_custkey % 4 AS ingest_batch_id FROM orders",
+    "merge_all": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE lower(c_mktsegment) END AS c_mktsegment FROM customer",
     "adhoc_sql": """SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY c_mktsegment""",
 }

@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share; it goes when the session ends.
 
-    Only where the setting is missing, as in tests, a local folder takes its place.
+    Only where the setting is missing in a session of one machine, as in tests, a local folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set, and executors share no local folder")
         root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

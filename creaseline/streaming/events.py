@@ -149,7 +149,7 @@ def delivery_facts(events: DataFrame) -> DataFrame:
         hit(4).alias("is_four"), hit(6).alias("is_six"), rules.team_wickets(out).alias("team_wickets"),
         rules.bowler_wickets(out).alias("bowler_wickets"), F.transform(out, lambda w: w["player_out"]).alias("players_out"),
         F.col("target.runs").alias("target_runs"), rules.overs_to_balls("target.overs").alias("target_balls"), "scheduled_overs",
-        F.coalesce("umpire_miscount", F.lit(False)).alias("umpire_miscount"),
+        F.coalesce("umpire_miscount", F.lit(False)).alias("umpire_miscount"), F.current_timestamp().alias("first_seen_at"),
     )
 
 

@@ -119,3 +119,29 @@ def test_windows_share_one_exchange(spark):
     docs = written.frame(spark, {1: written.plain()})
     plan = silver.deliveries(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_innings_flags_and_audit_columns(spark):
+    doc = written.plain()
+    doc["innings"][0] |= {"declared": True, "miscounted_overs": {"1": {"balls": 5, "umpire": "U"}}}
+    doc["innings"].append({"team": "Reds", "overs": [], "forfeited": True})
+    frame = written.frame(spark, {1: doc})
+    rows = {r.innings_number: r for r in silver.innings(frame, silver.deliveries(frame)).collect()}
+    assert (rows[1].declared, rows[1].forfeited, rows[3].forfeited, rows[3].runs) == (True, False, True, 0)
+    assert rows[1].miscounted_overs["1"].balls == 5 and rows[2].target_overs == 20.0
+    assert [(p["from"], p["to"]) for p in rows[2].powerplays] == [(0.1, 0.6)]
+    venues = spark.createDataFrame([("Old Ground", "The Oval", "City", "Land")], schemas.VENUES)
+    head = silver.matches(frame, venues, spark.createDataFrame([], schemas.TEAMS)).first()
+    assert (head.venue, head.country, head.silver_built_at is not None) == ("The Oval", "Land", True)
+
+
+def test_result_rules(spark):
+    from creaseline.functions import rules
+
+    rows = [("A", None, None, None), (None, "tie", "B", None), (None, "tie", None, "A"), (None, "no result", None, None), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "winner string, result string, eliminator string, bowl_out string")
+    won = rules.winner_of("winner", "eliminator", "bowl_out")
+    got = frame.select(rules.result_kind("winner", "result"), won, rules.loser(won, F.lit("A"), F.lit("B")), rules.stage(F.lit(None).cast("string")))
+    assert [tuple(r) for r in got.collect()] == [
+        ("win", "A", "B", "League"), ("tie", "B", "A", "League"), ("tie", "A", "B", "League"), ("no_result", None, None, "League"), ("unknown", None, None, "League"),
+    ]

@@ -136,3 +136,92 @@ def test_activity_feed_is_spread(spark, small, monkeypatch):
     root, query = seen[0]
     assert len(spark.read.parquet(f"{root}/feed").inputFiles()) > 1
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 1
+
+
+def test_kafka_options():
+    assert live.kafka_options("h:1") == {"kafka.bootstrap.servers": "h:1", "kafka.security.protocol": "PLAINTEXT"}
+    got = live.kafka_options("h:1", "SASL_SSL", "SCRAM-SHA-512", "me", 'a"b\\c')
+    assert got["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
+    assert got["kafka.sasl.jaas.config"] == 'org.apache.kafka.common.security.scram.ScramLoginModule required username="me" password="a\\"b\\\\c";'
+    with pytest.raises(ValueError, match="GSSAPI"):
+        live.kafka_options("h:1", "SASL_SSL", "GSSAPI")
+
+
+def test_kafka_source_sets_its_options():
+    class Reader:
+        def __init__(self):
+            self.seen = {}
+
+        def format(self, name):
+            self.seen["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.seen[key] = value
+            return self
+
+        def options(self, **more):
+            self.seen |= more
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, *columns):
+            self.seen["columns"] = columns
+            return self
+
+    class Spark:
+        readStream = Reader()  # noqa: N815
+
+    got = live.kafka_source(Spark, "h:1", "balls", per_trigger=7, options=live.kafka_options("h:1", "SSL")).seen
+    assert (got["format"], got["subscribe"], got["maxOffsetsPerTrigger"], got["kafka.security.protocol"]) == ("kafka", "balls", 7, "SSL")
+    assert (got["startingOffsets"], got["failOnDataLoss"]) == ("earliest", "true")
+
+
+def test_continuous_mode_stops_all_when_one_fails(spark, tmp_path):
+    """Queries run on a trigger, progress rows are kept, and a failed check ends every query."""
+    import threading
+    import time
+
+    root, good = str(tmp_path), feed_rows(spark, {1: written.plain()})
+    spark.createDataFrame(good, schemas.FEED).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    listener = live.Progress(spark, f"{root}/progress")
+    spark.streams.addListener(listener)
+    failed = []
+
+    def serve():
+        try:
+            live.run(spark, live.file_source(spark, f"{root}/feed"), root, every="1 second")
+        except StreamingQueryException as error:
+            failed.append(error)
+
+    runner = threading.Thread(target=serve)
+    runner.start()
+    try:
+        end = time.time() + 120
+        while tables.current(spark, f"{root}/live_scorecard") is None and time.time() < end and runner.is_alive():
+            time.sleep(0.5)
+        assert card(spark, root) == expected(spark, {1: written.plain()})
+        doc = written.plain()
+        doc["innings"][0]["overs"][0]["deliveries"] += [written.ball("Reds 1", "Blues 9", 0)] * 2
+        spark.createDataFrame(feed_rows(spark, {2: doc}), schemas.FEED).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        runner.join(120)
+        assert not runner.is_alive() and failed and not spark.streams.active
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+        spark.streams.removeListener(listener)
+    assert set(card(spark, root)) == {("1", 1), ("1", 2)}
+    rows = spark.read.parquet(f"{root}/progress").collect()
+    assert {"ingest", "scorecard"} <= {r.query for r in rows} and sum(r.input_rows for r in rows if r.query == "ingest") >= len(good)
+
+
+def test_a_batch_writes_only_the_buckets_of_its_matches(spark, tmp_path):
+    root, docs = str(tmp_path), {k: written.plain() for k in (1, 2, 3)}
+    drain(spark, root, [feed_rows(spark, {k: docs[k] for k in (1, 2)})])
+    files = lambda name: set(tables.read(spark, f"{root}/{name}").inputFiles())
+    before = {n: files(n) for n in ("stream_matches", "live_scorecard")}
+    drain(spark, root, [feed_rows(spark, {3: docs[3]})])
+    assert all(before[n] <= files(n) and len(files(n)) > len(before[n]) for n in before)
+    assert card(spark, root) == expected(spark, docs)
