@@ -4,17 +4,21 @@ import collections
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from creaseline.llm import chat, components, embeddings, langid, mixing, packing, quality, sharding, simhash, tokencount, toxicity
-from creaseline.llm.common import number_within, read
+from creaseline.llm.common import in_sample, number_within, read
 from creaseline.llm.queries import PROBE_ID, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -633,3 +637,138 @@ def test_pipeline_with_clashing_columns(spark, small):
     empty = frame.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, small).count() == 0
+
+
+# ---------------------------------------------------------------- any size, any names
+def test_samples_are_never_empty(spark):
+    got = spark.range(100_000).where(in_sample(F.xxhash64("id"), 2000, 100_000)).count()
+    assert 1800 < got < 2200
+    share = 400 / 10**12  # the hash counts as a fraction of its high bits
+    for factor, picked in ((0.9, True), (1.1, False)):
+        mixed = int(share * factor * 2**53) << 11
+        row = spark.range(1).select(in_sample(F.lit(mixed).cast("long"), 400, 10**12), in_sample(F.lit(mixed), F.lit(400.0), F.lit(10**12)))
+        assert tuple(row.first()) == (picked, picked)
+    assert spark.range(50).where(in_sample(F.xxhash64("id"), 400, 50)).count() == 50
+
+
+def test_texts_read_in_parts_give_the_same(monkeypatch, docs):
+    texts = [*TEXTS, *docs.text[:40], "ÀB c DE " * 40, "Σ ΑΣ İstanbul !!?" * 9]
+    lexicon, stems = {"idiot": 2.0, "clown": 1.0, "the": 0.5}, {"count": 1.0}
+    model = langid.train(["the cat and the dog", "le chat et le chien"] * 20, ["en", "fr"] * 20)
+
+    def results():
+        scores = langid.mean_logits(model, pa.array([t or "" for t in texts]))
+        return [toxicity.features(t or "", lexicon, stems) for t in texts], [simhash.text_fingerprint((t or "").encode()) for t in texts], scores
+
+    whole = results()
+    monkeypatch.setattr(toxicity, "PART", 5)
+    monkeypatch.setattr(simhash, "PART", 5)
+    monkeypatch.setattr(langid, "WINDOW", 9)
+    parts = results()
+    assert np.allclose(whole[0], parts[0], rtol=0, atol=1e-9) and whole[1] == parts[1] and np.allclose(whole[2], parts[2], rtol=0, atol=1e-9)
+    assert whole[1] == [brute_fingerprint(t) for t in texts]
+
+
+@pytest.mark.parametrize("call", [
+    "toxicity.features(text, {'idiot': 2.0}, {'stupi': 1.0})",
+    "simhash.text_fingerprint(text.encode())",
+    "langid.predict(langid.train(['the cat', 'le chat'] * 9, ['en', 'fr'] * 9), pa.array([text]))",
+])
+def test_a_text_of_50_mb_costs_bounded_memory(call):
+    code = f"""
+import resource, pyarrow as pa
+from creaseline.llm import langid, simhash, toxicity
+text = 'You are reading a very long text, word by word. ' * (50_000_000 // 49)
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+before = peak()
+{call}
+print(peak() - before)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 500
+
+
+CLASHING = ("_key", "_rank", "_row", "_of", "_mixed", "_start", "_source", "_takes", "_path", "_blocks", "_doc", "_features", "_margin", "_raw", "_p", "_label", "doc", "of", "rank", "id", "slot", "block", "run", "first", "row.dot")
+
+
+def test_columns_of_any_name_pass_through(spark):
+    frame = odd_docs(spark)
+    frame = frame.select("*", *[F.lit(f"mine {c}").alias(c) for c in CLASHING if c not in frame.columns])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(17)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels)
+    for out in (
+        mixing.mix(frame), number_within(frame, ["source", "_key"], ["doc_id", "_row"], "nth"), toxicity.score(frame, model),
+        toxicity.score(frame, toxicity.Model({}, {}, None, None, 0.25)), langid.languages(frame, langid.train([], [])),
+    ):
+        rows = out.collect()
+        assert out.columns[: len(frame.columns)] == frame.columns and len({r.doc_id for r in rows}) == len(TEXTS) + 1
+        assert all(r[c] == f"mine {c}" for r in rows for c in CLASHING)
+    taken = mixing.mix(frame.withColumn("_slot", F.lit("mine")))
+    assert taken.columns.count("_slot") == 1 and taken.schema["_slot"].dataType.typeName() == "long"
+
+
+def test_small_sources_repeat_as_their_weight_asks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRIDE", 3)
+    frame = spark.range(401).selectExpr("id as doc_id", "if(id = 0, 'one', 'many') as source")
+    weights = spark.createDataFrame([("one", 1.0), ("many", 4.0)], "source string, weight double")
+    mixed = mixing.mix(frame, weights, block_rows=1).collect()
+    assert check_weights(mixed, {"one": 1, "many": 4}) < 1
+    once = sorted(r._epoch for r in mixed if r.source == "one")
+    assert once == list(range(len(once))) and len(once) >= 100
+    assert sorted(r.doc_id for r in mixed if r.source == "many") == list(range(1, 401))
+
+
+def test_rules_are_ordered_by_what_those_before_leave(spark, monkeypatch):
+    rows = [("ab",)] * 6 + [("a",)] * 3 + [("c",)] * 2 + [("",)]
+    sample = spark.createDataFrame(rows, "text string")
+    has = lambda x: F.contains(F.col("text"), F.lit(x))
+    candidates = [quality.Rule("a", has("a")), quality.Rule("b", has("b")), quality.Rule("c", has("c"))]
+    monkeypatch.setattr(quality, "rule_seconds", lambda *_: {"a": 1.0, "b": 0.9, "c": 1.0})
+    # "b" rejects 6 of 12, but none that "a" leaves.
+    assert [r.name for r in quality.order_rules(candidates, sample)] == ["a", "c", "b"]
+    monkeypatch.undo()
+    assert all(s >= quality.LEAST_SECONDS for s in quality.rule_seconds(candidates, sample).values())
+
+
+def test_vectors_without_an_id(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.0]), (3, [0.0, 1.0]), (None, [0.0, 2.0]), (None, None)]
+    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [
+        (0, 0, 0, True), (0, 1, 0, True), (0, 1, 0, True), (0, 1, 3, False), (3, 1, 3, True),
+    ]
+
+
+def test_ids_may_be_null(spark):
+    frame = odd_docs(spark)
+    rows = simhash.near_duplicates(frame).collect()
+    assert len(rows) == frame.count() and [r.component_id for r in rows if r.doc_id is None] == [None]
+    shards = sharding.shard_documents(frame).collect()
+    assert sum(r.doc_id is None for r in shards) == 1
+    assert {r.held_out for r in langid.identify(frame).collect() if r.doc_id is None} == {False}
+
+
+def test_toxicity_query(spark, small):
+    """On a table of a thousand documents; two hundred hold too few toxic ones to learn from."""
+    larger = Path(small).with_name("sf0.01")
+    if not larger.exists():
+        pytest.skip("no larger tables")
+    rows = QUERIES["op9_toxicity"](spark, str(larger)).collect()
+    ids = [r.doc_id for r in read(spark, str(larger), "documents").select("doc_id").collect()]
+    assert {r.doc_id: r.held_out for r in rows} == {d: zlib.crc32(str(d).encode()) % 5 == 0 for d in ids} and len(rows) == len(ids)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    toxic = {r.doc_id: r.toxic for r in read(spark, str(larger), "labels").collect()}
+    judged = [(toxic[r.doc_id], r.predicted) for r in rows if r.held_out and toxic.get(r.doc_id) is not None]
+    assert len(judged) > 50 and np.mean([a == b for a, b in judged]) >= 0.95
+
+
+def test_sharding_against_one_heap(spark, small, docs):
+    load = np.zeros(16)
+    for r in QUERIES["op10_sharding"](spark, small).collect():
+        load[r.shard] += r.size
+    sizes = collections.Counter()
+    for t in docs.text:
+        sizes[t] += len(t.encode()) + 1
+    one = np.zeros(16)
+    sizes = sorted(sizes.values(), reverse=True)
+    np.add.at(one, sharding.longest_first(sizes, [0.0] * 16), sizes)
+    assert load.sum() == one.sum() and load.max() <= 1.02 * one.max() and load.min() >= 0.98 * one.min()
