@@ -25,9 +25,12 @@ from creaseline.llm.common import materialise, number_within, partitions
 from creaseline.llm.components import connected_components
 
 MIN_COSINE = 0.9
-#: At cosine 0.9 in 64 dimensions these find over 98 of 100 pairs.  One more function divides the buckets by twice
-#: the dimension; add one when a bucket would hold over a few thousand unrelated vectors (beyond 10**7 vectors).
+#: The least setting; at cosine 0.9 in 64 dimensions it finds over 98 of 100 pairs.
 TABLES, FUNCTIONS, PROBES, NEAR_AXES = 4, 2, 3, 3
+#: A bucket should hold about so many unrelated vectors at most; see :func:`setting`.
+BUCKET_ROWS = 1000
+#: With very short vectors buckets may hold more: they are split into blocks, which costs time, not links.
+MAX_FUNCTIONS = 5
 BLOCK = 512
 SEED = 20240501
 
@@ -46,23 +49,39 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def width(dimension: int) -> int:
+    return max(2, 1 << (dimension - 1).bit_length())
+
+
+def setting(rows: int, dimension: int) -> tuple[int, int, int]:
+    """Tables, functions and probes for a number of vectors.
+
+    Each function divides the buckets by twice the width, so their number grows with the vectors; each costs recall,
+    which more tables and probes give back.  The tests measure it for every number of functions.
+    """
+    functions = FUNCTIONS
+    while functions < MAX_FUNCTIONS and rows * (functions + 1) > BUCKET_ROWS * (2 * width(dimension)) ** functions:
+        functions += 1
+    return TABLES * (functions - 1), functions, PROBES + functions - FUNCTIONS
+
+
 def bucket_keys(
     vectors: np.ndarray, tables: int, functions: int, probes: int, near: int = NEAR_AXES, seed: int = SEED
 ) -> np.ndarray:
     """Buckets of each vector (rows x tables * probes); the table and the dimension are part of a key."""
     n, d = vectors.shape
-    width = max(2, 1 << (d - 1).bit_length())
-    padded = np.zeros((n, width))
+    axes_ = width(d)
+    padded = np.zeros((n, axes_))
     padded[:, :d] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    random = np.random.default_rng([seed, width])
-    near = min(near, 2 * width)
+    random = np.random.default_rng([seed, axes_])
+    near = min(near, 2 * axes_)
     out = []
     for table in range(tables):
         axes, scores = [], []
         for _ in range(functions):
             y = padded
             for _ in range(3):
-                y = hadamard(y * random.choice([-1.0, 1.0], width)) / np.sqrt(width)
+                y = hadamard(y * random.choice([-1.0, 1.0], axes_)) / np.sqrt(axes_)
             both = np.concatenate([y, -y], axis=1)
             best = np.argsort(-both, axis=1, kind="stable")[:, :near]
             axes.append(best)
@@ -72,7 +91,7 @@ def bucket_keys(
             total.append(sum(s[:, i] for s, i in zip(scores, pick)))
             key = np.full(n, table * 4096 + d, np.int64)
             for a, i in zip(axes, pick):
-                key = key * (2 * width) + a[:, i]
+                key = key * (2 * axes_) + a[:, i]
             code.append(key)
         first = np.argsort(-np.stack(total, axis=1), axis=1, kind="stable")[:, :probes]
         out.append(np.take_along_axis(np.stack(code, axis=1), first, axis=1))
@@ -83,7 +102,7 @@ def _usable(value: list | None) -> bool:
     return bool(value) and None not in value and all(map(np.isfinite, value)) and any(value)
 
 
-def _hash_vectors(tables: int, functions: int, probes: int):
+def _hash_vectors(count: int, chosen: tuple[int, int, int] | None):
     def run(column: pa.Array) -> pa.Array:
         values = column.to_pylist()
         out: list = [None] * len(values)
@@ -91,7 +110,8 @@ def _hash_vectors(tables: int, functions: int, probes: int):
         for i, value in enumerate(values):
             if _usable(value):
                 by_size.setdefault(len(value), []).append(i)
-        for rows in by_size.values():
+        for size, rows in by_size.items():
+            tables, functions, probes = chosen or setting(count, size)
             vectors = np.array([values[i] for i in rows], np.float64) + 0.0
             vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
             for i, vector, keys in zip(rows, vectors, bucket_keys(vectors, tables, functions, probes)):
@@ -181,19 +201,19 @@ def _verify_batches(min_cosine: float):
 
 
 def near_duplicate_vectors(
-    vectors: DataFrame, min_cosine: float = MIN_COSINE, tables: int = TABLES, functions: int = FUNCTIONS,
-    probes: int = PROBES,
+    vectors: DataFrame, min_cosine: float = MIN_COSINE, hashing: tuple[int, int, int] | None = None
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``: one row per row of ``vectors``.
 
-    Needs vec_id and embedding (array of numbers); other columns are ignored.  n_links counts the other rows whose
+    Needs vec_id and embedding (array of numbers); other columns are ignored.  ``hashing`` is tables, functions and
+    probes; by default :func:`setting` takes them from the number of vectors.  n_links counts the other rows whose
     cosine is at least ``min_cosine``, as far as hashing finds them; equal vectors always link.  Vectors that are
     null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths don't
     link.  component_id is the least vec_id reachable.  A null vec_id links like others but names a component only if
     no other id is in it (then null, and kept).  Repeated rows are rows of their own that link.  An empty table gives
     no row.
     """
-    hashed = _hash_vectors(tables, functions, probes)
+    hashed = _hash_vectors(vectors.count(), hashing)
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = materialise(
         rows.withColumn("_h", hashed("embedding")).select("vec_id", "embedding", "_h.class", "_h.keys"), "vectors"

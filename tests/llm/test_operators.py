@@ -472,6 +472,27 @@ def test_hashing_recall_at_the_threshold():
     assert (a[:, :, None] == b[:, None, :]).any((1, 2)).mean() >= 0.95
 
 
+@pytest.mark.parametrize("dimension", [24, 64])
+@pytest.mark.parametrize("rows", [10**4, 10**8, 10**11])
+def test_hashing_recall_grows_with_the_vectors(rows, dimension):
+    hashing = embeddings.setting(rows, dimension)
+    assert rows * hashing[2] <= embeddings.BUCKET_ROWS * (2 * embeddings.width(dimension)) ** hashing[1]
+    random_ = np.random.default_rng(5)
+    x, z = (random_.normal(size=(600, dimension)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    a, b = (embeddings.bucket_keys(v, *hashing) for v in (x, y))
+    assert np.mean([np.isin(p, q).any() for p, q in zip(a, b)]) >= 0.95
+
+
+def test_embeddings_with_three_functions(spark, small):
+    frame = read(spark, small, "embeddings")
+    links = brute_links({r.vec_id: list(r.embedding) for r in frame.collect()})
+    rows = embeddings.near_duplicate_vectors(frame, hashing=embeddings.setting(10**8, 64)).collect()
+    assert sum(r.n_links for r in rows) >= 0.9 * sum(map(len, links.values())) and all(r.n_links <= len(links[r.vec_id]) for r in rows)
+
+
 def test_embeddings_query(spark, small):
     rows = QUERIES["op8_embedding_dedup"](spark, small).collect()
     vectors = {r.vec_id: list(r.embedding) for r in read(spark, small, "embeddings").collect()}
