@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,10 @@ BY_SEASON = {
     "deliveries", "wickets", "innings", "substitutions", "match_players", "matches", "innings_summary", "match_summary", "batting_scorecard",
     "bowling_scorecard", "player_season_batting", "player_season_bowling", "team_phase_stats",
 }
+#: Marts whose rows of a season come from that season's matches alone.  The others are built from matches and innings.
+SEASONAL = {n for n in BY_SEASON if n not in silver.TABLES}
+#: Logs below ``ops``: seasons that a run changes in the conformed tables, and runs whose marts are written.
+TOUCHED, SETTLED = "ops/touched", "ops/settled"
 Tables = dict[str, DataFrame]
 
 
@@ -59,23 +65,73 @@ def write_silver(spark: SparkSession, documents: DataFrame, venues: DataFrame, t
         ball.unpersist()
 
 
+def touch(spark: SparkSession, root: str, run_id: str, documents: DataFrame, changed: DataFrame | None) -> None:
+    """Notes, before anything is replaced, the seasons whose marts a run makes out of date; without ``changed``, all of them.
+
+    Without a log of earlier runs nothing is known of the marts, so that all count as out of date.
+    """
+    if changed is None or not tables.exists(spark, f"{root}/{TOUCHED}"):
+        seasons = spark.range(1).select(F.lit(None).cast("int").alias("season"), F.lit(True).alias("whole"))
+    else:
+        held = tables.read(spark, f"{root}/silver/matches").join(changed, "match_id", "left_semi").select("season")
+        seasons = held.unionByName(documents.select(silver.season().alias("season"))).distinct().select("season", F.lit(False).alias("whole"))
+    seasons.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("append").parquet(f"{root}/{TOUCHED}")
+
+
+def out_of_date(spark: SparkSession, root: str) -> tuple[list[dict] | None, list[str]]:
+    """Seasons whose marts are out of date, as partitions (None: all), and the runs that left them so.
+
+    A run that broke off before its marts were written left its seasons here for the next one.
+    """
+    open_ = spark.read.parquet(f"{root}/{TOUCHED}")
+    if tables.exists(spark, f"{root}/{SETTLED}"):
+        open_ = open_.join(spark.read.parquet(f"{root}/{SETTLED}"), "run_id", "left_anti")
+    rows = open_.distinct().collect()  # a season of an unfinished run each
+    runs = sorted({r["run_id"] for r in rows})
+    if any(r["whole"] for r in rows) or any(tables.current(spark, f"{root}/gold/{n}") is None for n in SEASONAL):
+        return None, runs
+    return [{"season": s} for s in {r["season"] for r in rows}], runs
+
+
+def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame, root: str) -> list[str]:
+    """Writes the marts; their names.  Those by season are built and replaced only for seasons that are out of date."""
+    seasons, runs = out_of_date(spark, root)
+    if seasons is None:
+        narrowed = conformed
+    else:
+        # Literals prune the scans of the tables that are split by season.
+        mine = reduce(or_, [F.col("season").eqNullSafe(F.lit(s["season"])) for s in seasons], F.lit(False))
+        narrowed = {n: df.where(mine) for n, df in conformed.items()}
+    built = marts.build(narrowed, adjustments)
+    if seasons is not None:
+        built |= marts.across_seasons(conformed, adjustments)
+    try:
+        for name, frame in built.items():
+            path = f"{root}/gold/{name}"
+            if seasons is None or name not in SEASONAL:
+                tables.overwrite(frame, path, split(name))
+            elif seasons:
+                tables.replace_partitions(spark, frame, seasons, path, split(name))
+    finally:
+        built["batting_scorecard"].unpersist()
+        built["bowling_scorecard"].unpersist()
+    if runs:
+        done = spark.createDataFrame([(r,) for r in runs], "run_id string")
+        done.coalesce(1).write.mode("append").parquet(f"{root}/{SETTLED}")
+    return list(built)
+
+
 def build(
     spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, adjustments: DataFrame, root: str,
     changed: DataFrame | None = None, stop_on_error: bool = True,
 ) -> Tables:
     """Everything below ``root``; returns the stored tables of both layers.  Marts are built from stored tables."""
     run_id = uuid.uuid4().hex
+    touch(spark, root, run_id, documents, changed)
     write_silver(spark, documents, venues, teams, root, changed)
     conformed = stored(spark, root, "silver", silver.TABLES)
     gate(spark, root, "silver", quality.CONFORMED, conformed | {"venues": venues, "teams": teams}, run_id, stop_on_error)
-    built = marts.build(conformed, adjustments)
-    try:
-        for name, frame in built.items():
-            tables.overwrite(frame, f"{root}/gold/{name}", split(name))
-    finally:
-        built["batting_scorecard"].unpersist()
-        built["bowling_scorecard"].unpersist()
-    final = stored(spark, root, "gold", built)
+    final = stored(spark, root, "gold", write_marts(spark, conformed, adjustments, root))
     gate(spark, root, "gold", quality.MARTS, final, run_id, stop_on_error)
     return conformed | final
 

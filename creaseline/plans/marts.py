@@ -266,6 +266,14 @@ def head_to_head(matches: DataFrame, adjustments: DataFrame) -> DataFrame:
     )
 
 
+def across_seasons(t: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFrame]:
+    """Marts from matches and innings, whose rows may stand on many seasons or on the adjustments."""
+    return {
+        "points_table": points_table(t["matches"], t["innings"], adjustments), "venue_stats": venue_stats(t["matches"], t["innings"]),
+        "head_to_head": head_to_head(t["matches"], adjustments),
+    }
+
+
 def build(t: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFrame]:
     """All marts; scorecards are cached, since the season marts read them again (unpersist them after writing)."""
     batting = batting_scorecard(t["deliveries"], t["wickets"], t["match_players"]).cache()
@@ -273,7 +281,6 @@ def build(t: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFram
     return {
         "innings_summary": innings_summary(t["matches"], t["innings"]), "match_summary": match_summary(t["matches"], t["innings"]),
         "batting_scorecard": batting, "bowling_scorecard": bowling, "player_season_batting": season_batting(batting, t["match_players"]),
-        "player_season_bowling": season_bowling(bowling, t["match_players"]), "points_table": points_table(t["matches"], t["innings"], adjustments),
-        "venue_stats": venue_stats(t["matches"], t["innings"]), "team_phase_stats": phase_stats(t["deliveries"]),
-        "head_to_head": head_to_head(t["matches"], adjustments),
+        "player_season_bowling": season_bowling(bowling, t["match_players"]), "team_phase_stats": phase_stats(t["deliveries"]),
+        **across_seasons(t, adjustments),
     }

@@ -126,6 +126,29 @@ def _equals(values: dict) -> Column:
     return reduce(and_, [F.col(f"`{name}`").eqNullSafe(F.lit(value)) for name, value in values.items()])
 
 
+def _inside(depth: int) -> Column:
+    """The folder of a row's file as ``_in``, for a table of so many partition columns."""
+    return F.regexp_extract("_metadata.file_path", f"/({VERSION}=[^/]*" + "/[^/]*=[^/]*" * depth + ")/[^/]*$", 1).alias("_in")
+
+
+def _names(rows: DataFrame) -> set[str]:
+    """The folders in ``_in``: at most a row for each partition.  file_path is a URI, whose signs are encoded once more."""
+    return {unquote(r[0]) for r in rows.select("_in").distinct().collect()}
+
+
+def replace_partitions(spark: SparkSession, new: DataFrame, values: Sequence[dict], path: str, partition_by: Sequence[str]) -> None:
+    """Replaces the partitions of ``values``, column to value, by the rows of ``new`` in them; the others keep their files.
+
+    A partition without new rows goes.  A null value names the partition of nulls.  The table must exist.
+    """
+    state = _load(spark, current(spark, path))
+    schema, folders = StructType.fromJson(state["schema"]), state["folders"]
+    named = reduce(or_, [_equals(value) for value in values], F.lit(False))
+    touched = _names(_scan(spark, path, schema, folders).where(named).select(_inside(len(partition_by)))) if folders else set()
+    kept = [f for f in folders if f not in touched]
+    _publish(spark, path, kept + _store(new.where(named), path, partition_by), new.schema)
+
+
 def replace_ids(spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Replaces all rows of ``ids`` in a table, also of ids that now have no rows; makes the table if it is missing.
 
@@ -148,12 +171,10 @@ def replace_ids(spark: SparkSession, new: DataFrame, ids: DataFrame, path: str,
         # As many values as there are touched partitions; as literals they prune the scan.
         values = ids.select(*keys[1:]).distinct().collect()
         held = held.where(reduce(or_, [_equals(row.asDict()) for row in values], F.lit(False)))
-    inside = F.regexp_extract("_metadata.file_path", f"/({VERSION}=[^/]*" + "/[^/]*=[^/]*" * len(partition_by) + ")/[^/]*$", 1)
     touched: set[str] = set()
     if folders:
-        hit = held.select(*keys, inside.alias("_in")).join(ids.select(*keys).distinct(), keys, "left_semi")
-        # At most a row for each partition; file_path is a URI, so its signs are encoded once more than in a folder's name.
-        touched = {unquote(r[0]) for r in hit.select("_in").distinct().collect()}
+        hit = held.select(*keys, _inside(len(partition_by))).join(ids.select(*keys).distinct(), keys, "left_semi")
+        touched = _names(hit)
     kept = [f for f in folders if f not in touched]
     again = _scan(spark, path, schema, [f for f in folders if f in touched]).select(*[F.col(f"`{c}`") for c in schema.names])
     changed = replace_for_ids(again, ids, new, key)

@@ -145,3 +145,16 @@ def test_result_rules(spark):
     assert [tuple(r) for r in got.collect()] == [
         ("win", "A", "B", "League"), ("tie", "B", "A", "League"), ("tie", "A", "B", "League"), ("no_result", None, None, "League"), ("unknown", None, None, "League"),
     ]
+
+
+def test_row_checks_of_a_table_share_one_scan(spark, t, tmp_path):
+    t["deliveries"].write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d"))
+    suite = [c for c in quality.CONFORMED if c.table == "deliveries" and isinstance(c.violations, quality.RowsWhere)]
+    broken = frame.withColumn("source_ball_label", F.when(F.col("delivery_id") == "1-1-0-1", "9.9"))
+    counts = quality.violation_counts(suite, {"deliveries": broken})
+    assert len(suite) == 3 and counts._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    rows = {r.check: r for r in counts.collect()}
+    bad = rows.pop("deliveries_ball_label_matches_source")
+    assert (bad.table, bad.severity) == ("deliveries", "warn") and bad.violations == 1 and '"9.9"' in bad.sample
+    assert {(r.violations, r.sample) for r in rows.values()} == {(0, None)}
