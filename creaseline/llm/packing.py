@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -29,6 +30,13 @@ from creaseline.llm.common import materialise, number_within, runs_by_bytes
 CAPACITY = 1024
 SEPARATOR = 2
 
+#: Characters of a text that are encoded together; a longer text is cut at spaces between words, which no token crosses.
+PART = 1 << 20
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Runs of the split pattern's white space that are encoded apart: the splitter tracks back through a run, and its
+#: stack ends between 500,000 and 1,000,000 characters.
+LONG_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
+
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "length long, rank_from long, rank_to long, per_bin long, bin_from long, at long"
 
@@ -63,6 +71,34 @@ def added_tokens() -> dict[str, int]:
     return {t["content"]: t["id"] for t in tokens}
 
 
+def _part_ids(encoding, text: str) -> list[int]:
+    """Ids of a part; of a long run of white space all but the last character are one piece where a word follows."""
+    added = encoding.special_tokens_set
+
+    def encode(part: str) -> list[int]:
+        return encoding.encode(part, allowed_special="all") if added else encoding.encode_ordinary(part)
+
+    ids, start = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end()
+        if end < len(text) and not any(text.startswith(token, end) for token in added):
+            end -= 1
+        ids += encode(text[start : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : end])
+        start = end
+    return ids + encode(text[start:])
+
+
+def text_ids(encoding, text: str, dtype: str = "<u4") -> np.ndarray:
+    """Ids of a text of any length, with the added tokens of ``encoding``; about four bytes an id are held."""
+    found, start = [], 0
+    while len(text) - start > PART and (space := BETWEEN.search(text, start + PART)):
+        found.append(np.array(_part_ids(encoding, text[start : space.start()]), dtype))
+        start = space.start()
+    found.append(np.array(_part_ids(encoding, text[start:]), dtype))
+    return np.concatenate(found)
+
+
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``total`` tokens; only the first may be shorter."""
     first = total % capacity or capacity
@@ -79,7 +115,7 @@ def _tokenise_batches(capacity: int, separator: int, match_added: bool):
                 doc, piece, start, length, ids = [], [], [], [], []
                 part = zip(docs.slice(begin, end - begin).to_pylist(), texts.slice(begin, end - begin).to_pylist())
                 for doc_id, text in part:
-                    tokens = np.array([*encoding.encode(text, allowed_special="all"), separator], "<u4").tobytes()
+                    tokens = np.append(text_ids(encoding, text), np.array([separator], "<u4")).tobytes()
                     for n, (at, size) in enumerate(cut(len(tokens) // 4, capacity)):
                         doc.append(doc_id)
                         piece.append(n)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creaseline.llm.common import runs_by_bytes
-from creaseline.llm.packing import encoder, tokenizer_files
+from creaseline.llm.packing import encoder, text_ids, tokenizer_files
 from creaseline.sources.scratch import scratch_path
 
 #: ``<|endoftext|>`` of the public 50k byte-level BPE; no ordinary text has this id.
@@ -33,11 +33,11 @@ SEGMENTS = "file string, block long, nth long, tokens long, closed long"
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encode = encoder(*tokenizer_files()).encode_ordinary
+    encoding = encoder(*tokenizer_files())
     for batch in batches:
         texts = batch.column("text").fill_null("")
         for start, end in runs_by_bytes(pc.binary_length(texts).to_numpy(), 1 << 22):
-            ids = [np.array(encode(t), ID).tobytes() for t in texts.slice(start, end - start).to_pylist()]
+            ids = [text_ids(encoding, t, ID).tobytes() for t in texts.slice(start, end - start).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(start, end - start), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )

@@ -1,6 +1,7 @@
 """Corpus operators against brute force, exact round trips, held-out accuracy, and odd inputs."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -153,6 +154,46 @@ def test_packing_odd_documents(spark):
     assert packing.packed_documents(no_docs(spark)).count() == 0
 
 
+@functools.cache
+def ours_once():
+    return packing.encoder(*packing.tokenizer_files(), packing.added_tokens())
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", " \n\t", "\u3000", "\x85", " \u2003"])
+def test_ids_of_very_long_runs_of_white_space(blank):
+    """A million blanks are more than the splitter's stack takes; the ids are those of the tokenizer file."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ours = ours_once()
+    for tail in ("", "x", "<|endoftext|>", "<|endoftext|> y"):
+        text = "first one" + blank * (1_000_000 // len(blank)) + tail
+        assert packing.text_ids(ours, text).tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
+@given(st.text(st.sampled_from(" \n\t\u3000\x1cab1é漢'!<|>s"), max_size=60), st.integers(1, 9))
+@settings(max_examples=150, deadline=None)
+def test_ids_of_texts_in_parts(text, part):
+    ours = ours_once()
+    text = text.replace("<", "<|endoftext|>")
+    with pytest.MonkeyPatch.context() as patch:
+        whole = ours.encode(text, allowed_special="all")
+        patch.setattr(packing, "PART", part)
+        patch.setattr(packing, "LONG_BLANK", re.compile(packing.LONG_BLANK.pattern.replace("100000", "2")))
+        assert packing.text_ids(ours, text).tolist() == whole
+
+
+def test_blank_texts_are_packed_and_counted(spark):
+    text = "a" + " " * 1_000_000 + "b"
+    frame = spark.createDataFrame([(1, text), (2, "\n" * 1_000_000)], "doc_id long, text string")
+    rows = packing.packed_documents(frame, match_added=True).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    ours = packing.encoder(*packing.tokenizer_files())
+    expected = {1: len(packing.text_ids(ours, text)), 2: len(packing.text_ids(ours, "\n" * 1_000_000))}
+    assert {r.doc_id: r.n - 1 for r in rows} == expected
+    assert sorted(r.n_tokens for r in tokencount.count_document_tokens(frame).collect()) == sorted(expected.values())
+
+
 def test_packing_query_and_stage_match_added_tokens(spark, tmp_path):
     """Ids of the tokenizer file as it stands, which finds its added tokens inside texts."""
     import public_tokenizers
