@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import chat, embeddings, langid, mixing, packing, quality, sharding, simhash, tokencount, toxicity
+from creaseline.llm import chat, codes, embeddings, langid, linededup, mixing, packing, quality, sharding, simhash, tokencount, toxicity, variants
 from creaseline.llm.common import read
 
 #: A conversation whose texts hold the template's look of other tools; it is formatted with all others.
@@ -66,16 +66,52 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedupe_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.word_counts(read(spark, sf_dir, "documents"), damage=97))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_best_fit_packing, op3_source_mixing, op4_simhash, op5_quality_rules, op6_token_counts,
-        op7_language_id, op8_embedding_dedup, op9_toxicity, op10_sharding,
+        op7_language_id, op8_embedding_dedup, op9_toxicity, op10_sharding, op11_vector_codes, op12_line_dedup,
+        op13_spelling_variants,
     )
 }
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
+
+
+def _codes_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS, scale: int = codes.SCALE) -> str:
+    """Every round over all entries: assignment by least distance, then floors of the means."""
+    steps = [f"""WITH v AS MATERIALIZED (SELECT vec_id, label, [floor(x * {scale})::BIGINT FOR x IN embedding::DOUBLE[]] AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+p AS MATERIALIZED (SELECT vec_id, label, p, e[p * (len(e) // {parts}) + 1 : (p + 1) * (len(e) // {parts})] AS e FROM v, (SELECT unnest(range({parts})) AS p)),
+c0 AS MATERIALIZED (SELECT p, rank() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS j, e AS c FROM p QUALIFY j < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, label, p, min({{'d': d, 'j': j}}) AS m, any_value(e) AS e FROM
+    (SELECT vec_id, label, p.p, j, e, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(e, c)])::BIGINT AS d FROM p JOIN c{r} c ON p.p = c.p)
+    GROUP BY vec_id, label, p)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT p, j, i, sum(x) AS s, count(*) AS n FROM (SELECT p, m.j AS j, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM a{r}) GROUP BY p, j, i),
+n{r} AS (SELECT p, j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{r} GROUP BY p, j),
+c{r + 1} AS MATERIALIZED (SELECT o.p, o.j, coalesce(n.c, o.c) AS c FROM c{r} o LEFT JOIN n{r} n ON o.p = n.p AND o.j = n.j)""")
+    return ",\n".join(steps) + f""",
+b AS (SELECT vec_id, label, string_agg(format('{{:02x}}', m.j), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, j)) FROM c{rounds}) AS codebooks_sha256 FROM b"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -107,4 +143,14 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec
 r AS (SELECT vec_id, vec_id AS reach FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a),
 c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c""",
+    "op11_vector_codes": _codes_sql(),
+    "op12_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last <> doc_id) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN s USING (key) GROUP BY doc_id""",
 }
