@@ -7,9 +7,10 @@ word stands unharmed in the other, and of two near words the one whose prefix en
 So pivots are looked up among prefixes only.
 
 Positions limit what is looked up.  If a pivot is unharmed, the edit lies on one side of it: on the other side the
-words agree to the end.  The side with the edit is halved, and the edit spares one half.  Keys are therefore hashes of
-(side, half, length, place, the letters that must agree); a word asks for partners of its own length and of one more
-and one less.  Every pair that keys bring together is verified by its edit distance, so hashing can't give a wrong pair.
+words agree to the end.  Where few letters must agree so, the side with the edit is halved, since the edit spares one
+half; a word then asks for partners of its own length and of one more and one less.  Keys are hashes of the kind, the
+place and the letters that must agree.  Every pair that keys bring together is verified by its edit distance, so
+hashing can't give a wrong pair.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
@@ -31,26 +32,31 @@ MIN_CHARS, MIN_COUNT = 5, 3
 RATIO = 2
 #: One edit harms at most two bigrams, so the prefix has one more than two.
 PREFIX = 3
-RUN = re.compile("[a-zÀ-ÿ]+")
+#: UTF-8 of runs of a-z and U+00C0 to U+00FF.
+RUN = re.compile(rb"[a-z]+(?:\xc3[\x80-\xbf][a-z]*)*|(?:\xc3[\x80-\xbf][a-z]*)+")
+#: Letters that agree beside an edit from which on that side is not halved.
+AGREEING = 5
+#: Letters of the longest words that travel with their keys; longer ones are looked up again.
+CARRIED = 64
 _BASE, _PRIME = 1_000_003, (1 << 61) - 1
 
 
-def text_words(doc_id: int | None, text: bytes, min_chars: int, damage: int | None) -> Counter:
-    """How often each word stands in a text: runs of letters, A-Z lower-cased.
+def count_runs(words: Counter, doc_id: int | None, text: bytes, damage: int | None) -> None:
+    """Adds how often each run of letters (UTF-8, A-Z lower-cased) stands in a text.
 
     With ``damage``, a run loses a letter where the crc32 of its document's id and itself is a multiple of that.
     """
-    found, words = Counter(), Counter()
-    for piece in pieces(text.lower()):
-        found.update(RUN.findall(piece.decode("utf-8", "replace")))
     start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    for run, n in found.items():
-        if damage is not None and not (h := zlib.crc32(run.encode(), start)) % damage:
-            at = h % len(run)
-            run = run[:at] + run[at + 1 :]
-        if len(run) >= min_chars:
-            words[run] += n
-    return words
+    crc = zlib.crc32
+    for piece in pieces(text.lower()):
+        runs = RUN.findall(piece)
+        words.update(runs)
+        hurt = {run for run in set(runs) if not crc(run, start) % damage} if damage is not None else ()
+        for run, n in Counter(run for run in runs if run in hurt).items() if hurt else ():
+            letters = run.decode()
+            at = crc(run, start) % len(letters)
+            words[run] -= n
+            words[(letters[:at] + letters[at + 1 :]).encode()] += n
 
 
 def word_counts(docs: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MIN_COUNT, damage: int | None = None) -> DataFrame:
@@ -65,9 +71,11 @@ def word_counts(docs: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MI
             words = Counter()
             for doc_id, text in zip(batch.column("_id").to_pylist(), batch.column("_text")):
                 if text.is_valid:
-                    words.update(text_words(doc_id, text.as_py(), min_chars, damage))
-            if words:
-                yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+                    count_runs(words, doc_id, text.as_py(), damage)
+            found = [(w, n) for w, n in words.items() if n and len(w) >= min_chars]  # never more letters than bytes
+            found = [(w, n) for w, n in found if w.isascii() or len(w.decode()) >= min_chars]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()).cast(pa.string()), pa.array([n for _, n in found], pa.int64())], ["word", "n"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("_text"))
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
@@ -110,46 +118,46 @@ def prefix_and_pivots(word: str, counts: dict[str, int]) -> tuple[list[int], tup
     return places, pivots(places, [ranks[i][0] for i in places])
 
 
-class Parts:
-    """Hashes of any part of a word in constant time."""
-
-    def __init__(self, word: str):
-        self.length = len(word)
-        self.sums = list(accumulate(word, lambda h, c: (h * _BASE + ord(c)) % _PRIME, initial=1))
-        self.powers = list(accumulate(range(self.length), lambda p, _: p * _BASE % _PRIME, initial=1))
+def keys(word: str, places: Sequence[int], lengths: Sequence[int]) -> set[int]:
+    """Keys of the bigrams at ``places`` for partners of these lengths: what must agree if the edit is behind or before.
 
-    def of(self, start: int, end: int) -> int:
-        return (self.sums[end] - self.sums[start] * self.powers[end - start]) % _PRIME
-
-    def keys(self, place: int, length: int) -> Iterator[int]:
-        """Keys of the bigram at ``place`` for partners of that length: each side, and each half that an edit may spare."""
-        n, whole = self.length, self.of
-        free = length - place - 2  # letters of the partner behind the bigram, if the edit is there
-        if free >= 0:
-            half = free // 2
-            yield hash((0, length, place, whole(0, place + 2 + half)))
-            yield hash((1, length, place, whole(0, place + 2), whole(n - half, n)))
-        free = length - (n - place)  # letters of the partner before it
-        if free >= 0:
-            half = free // 2
-            yield hash((2, length, n - place, whole(place - half, n)))
-            yield hash((3, length, n - place, whole(0, half), whole(place, n)))
+    Parts are hashed in constant time each, by differences of running sums.
+    """
+    n = len(word)
+    sums = list(accumulate(map(ord, word), lambda h, c: (h * _BASE + c) % _PRIME, initial=1))
+    powers = list(accumulate(range(n), lambda p, _: p * _BASE % _PRIME, initial=1))
+    out = set()
+    for place in places:
+        front, back = place + 2, n - place
+        tail = (sums[n] - sums[place] * powers[back]) % _PRIME
+        if front >= AGREEING:
+            out.add(hash((0, front, sums[front])))
+        if back >= AGREEING:
+            out.add(hash((3, back, tail)))
+        for length in lengths:
+            if front < AGREEING and length >= front:
+                half = (length - front) // 2
+                out.add(hash((1, length, front, sums[front + half])))
+                out.add(hash((2, length, front, sums[front], (sums[n] - sums[n - half] * powers[half]) % _PRIME)))
+            if back < AGREEING and length >= back:
+                half = (length - back) // 2
+                out.add(hash((4, length, back, (sums[n] - sums[place - half] * powers[back + half]) % _PRIME)))
+                out.add(hash((5, length, back, sums[half], tail)))
+    return out
 
 
 def _keyed(counts: dict[str, int], asking: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owners = [], []
-            for owner, word in zip(batch.column("_id").to_pylist(), batch.column("word").to_pylist()):
+            found, owners = [], []
+            for row, word in enumerate(batch.column("word").to_pylist()):
                 prefix, chosen = prefix_and_pivots(word, counts)
-                parts, n = Parts(word), len(word)
-                before = len(keys)
-                if asking:
-                    keys += {k for place in chosen for length in (n - 1, n, n + 1) for k in parts.keys(place, length)}
-                else:
-                    keys += {k for place in prefix for k in parts.keys(place, n)}
-                owners += [owner] * (len(keys) - before)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(owners, pa.int64())], ["key", "id"])
+                n = len(word)
+                mine = keys(word, chosen, (n - 1, n, n + 1)) if asking else keys(word, prefix, (n,))
+                found += mine
+                owners += [row] * len(mine)
+            rows = batch.select(["_id", "_carried", "n"]).take(pa.array(owners, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *rows.columns], ["key", "id", "w", "n"])
 
     return run
 
@@ -157,16 +165,24 @@ def _keyed(counts: dict[str, int], asking: bool):
 def near_words(words: DataFrame) -> DataFrame:
     """``a, a_n, b, b_n`` (a < b): all pairs of words at edit distance one; ``words`` (word, n) are distinct, of at least 4 letters."""
     counts = bigram_counts(words)
-    named = words.select("word", "n", F.xxhash64("word").alias("_id"))
-    keyed = lambda asking: named.select("_id", "word").mapInArrow(_keyed(counts, asking), "key long, id long")
-    asked, held = keyed(True).toDF("key", "a"), keyed(False).toDF("other", "b")
-    met = asked.join(held, (F.col("key") == F.col("other")) & (F.col("a") != F.col("b")))
-    pairs = met.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
-    side = lambda c: named.select(F.col("_id").alias(f"_{c}"), F.col("word").alias(c), F.col("n").alias(f"{c}_n"))
-    both = pairs.join(side("a"), "_a").join(side("b"), "_b").where(F.levenshtein("a", "b", 1) == 1)
+    carried = F.when(F.length("word") <= CARRIED, F.col("word"))
+    named = words.select("word", "n", F.xxhash64("word").alias("_id"), carried.alias("_carried"))
+    keyed = lambda asking: named.mapInArrow(_keyed(counts, asking), "key long, id long, w string, n long")
+    asked, held = keyed(True).alias("x"), keyed(False).alias("y")
+    unlike = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id"))
+    close = F.coalesce(F.levenshtein("x.w", "y.w", 1) == 1, F.lit(True))  # of words that are not carried, below
+    first = F.coalesce(F.col("x.w") < F.col("y.w"), F.col("x.id") < F.col("y.id"))
+    side = lambda c: F.struct(F.col(f"{c}.w").alias("w"), F.col(f"{c}.n").alias("n"), F.col(f"{c}.id").alias("id"))
+    pick = lambda yes, a, b: F.when(yes, a).otherwise(b)
+    met = asked.join(held, unlike & close).select(pick(first, side("x"), side("y")).alias("a"), pick(first, side("y"), side("x")).alias("b"))
+    pairs = materialise(met.distinct(), "met-words")
+    short = F.col("a.w").isNotNull() & F.col("b.w").isNotNull()
+    named = words.where(F.length("word") >= CARRIED).select("word", "n", F.xxhash64("word").alias("_id"))
+    left, right = (named.select(F.col("_id").alias(f"_{c}"), F.col("word").alias(c), F.col("n").alias(f"{c}_n")) for c in "ab")
+    looked = pairs.where(~short).select(F.col("a.id").alias("_a"), F.col("b.id").alias("_b")).join(left, "_a").join(right, "_b").where(F.levenshtein("a", "b", 1) == 1)
     first = F.col("a") < F.col("b")
-    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
-    return both.select(pick("a", "b").alias("a"), pick("a_n", "b_n").alias("a_n"), pick("b", "a").alias("b"), pick("b_n", "a_n").alias("b_n"))
+    looked = looked.select(pick(first, F.col("a"), F.col("b")), pick(first, F.col("a_n"), F.col("b_n")), pick(first, F.col("b"), F.col("a")), pick(first, F.col("b_n"), F.col("a_n")))
+    return pairs.where(short).select("a.w", "a.n", "b.w", "b.n").union(looked).toDF("a", "a_n", "b", "b_n")
 
 
 def roots(forms: DataFrame) -> DataFrame:
