@@ -12,7 +12,7 @@ from creaseline.operators import keyed
 from creaseline.plans import quality, serve, silver
 from creaseline.queries.flat import flat
 from creaseline.shaped import LINE_ORDER, table
-from creaseline.sources import landing, tables
+from creaseline.sources import commits, landing, tables
 from creaseline.sources.scratch import scratch_path
 from creaseline.streaming import events as ev
 from creaseline.streaming import live
@@ -225,6 +225,44 @@ def sink_append_all(spark, sf_dir):
     return flat(spark.read.parquet(path), "o_orderkey", "o_orderstatus", "ingest_batch_id")
 
 
+def sink_batch_replay(spark, sf_dir):
+    """All orders as four micro-batches in partitions by status; a closed batch comes again with another status and is skipped, the last one is replaced whole."""
+    path, orders = scratch_path(spark, "batches"), _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", F.pmod("o_custkey", F.lit(4)).alias("part"))
+    mine = lambda n: orders.where(F.col("part") == n).drop("part")
+    for n in range(4):
+        tables.append_batch(mine(n), path, n, ["o_orderstatus"], "feed")
+    tables.append_batch(mine(2).withColumn("o_orderstatus", F.lit("R")), path, 2, ["o_orderstatus"], "feed")
+    tables.append_batch(mine(3).withColumn("o_orderstatus", F.lit("N")), path, 3, ["o_orderstatus"], "feed", replay="replace")
+    return flat(tables.read(spark, path), "o_orderkey", "o_orderstatus", "ingest_batch_id")
+
+
+def sink_two_apps(spark, sf_dir):
+    """Two queries write their batches 0 and 1 to one table, each batch twice; none erases the other's."""
+    path, orders = scratch_path(spark, "batches"), _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", F.pmod("o_custkey", F.lit(4)).alias("part"))
+    for n in range(4):
+        for _ in range(2):
+            tables.append_batch(orders.where(F.col("part") == n).drop("part"), path, n // 2, app=f"app-{n % 2}")
+    return flat(tables.read(spark, path), "o_orderkey", "o_orderstatus", "ingest_batch_id")
+
+
+def stream_commits(spark, sf_dir):
+    """A table of micro-batches as a stream, drained while batches are added, repeated and merged; every row as often as it was given."""
+    path, orders = scratch_path(spark, "commits"), _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", F.pmod("o_custkey", F.lit(12)).alias("part"))
+    tables.ensure(spark, f"{path}/table", orders.drop("part").schema)
+    schema = tables.state(spark, f"{path}/table").schema
+
+    def drain() -> None:
+        writer = commits.stream(spark, f"{path}/table", schema).writeStream.format("parquet").option("path", f"{path}/given")
+        writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    for n in range(12):
+        for _ in range(1 + n % 2):
+            tables.append_batch(orders.where(F.col("part") == n).drop("part"), f"{path}/table", n, app="feed")
+        if n % 4 == 3:
+            drain()
+    return flat(spark.read.schema(schema).parquet(f"{path}/given"), "o_orderkey", "o_orderstatus", "ingest_batch_id")
+
+
 def merge_all(spark, sf_dir):
     """All customers: two in three are held, and two in three come with an upsert, so each is on a side or on both."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -243,7 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_per_key, dedupe_first, pending_versions, replace_for_ids, merge_insert_only, merge_upsert, merge_coalesce, first_appearance_order, partition_count, landing_classify,
         landing_lineage, landing_problems, dq_unique_key, dq_orphans, dq_parent_reconcile_orders, live_board, latest_run_rows, activity_windows, feed_activity, dlq_by_reason,
-        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, merge_all, adhoc_sql,
+        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, sink_batch_replay, sink_two_apps, stream_commits, merge_all, adhoc_sql,
     )
 }
 
@@ -286,6 +324,9 @@ ORACLE_SQL = {
         UNION ALL SELECT o_orderkey, o_custkey, 'N' FROM orders WHERE o_custkey % 20 = 0""",
     "sink_append_batches": "SELECT o_orderkey, o_orderstatus, o_orderkey % 3 AS ingest_batch_id FROM orders WHERE o_orderkey % 3 < 2",
     "sink_append_all": "SELECT o_orderkey, o_orderstatus, o_custkey % 4 AS ingest_batch_id FROM orders",
+    "sink_batch_replay": "SELECT o_orderkey, CASE WHEN o_custkey % 4 = 3 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, o_custkey % 4 AS ingest_batch_id FROM orders",
+    "sink_two_apps": "SELECT o_orderkey, o_orderstatus, (o_custkey % 4) // 2 AS ingest_batch_id FROM orders",
+    "stream_commits": "SELECT o_orderkey, o_orderstatus, o_custkey % 12 AS ingest_batch_id FROM orders",
     "merge_all": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE lower(c_mktsegment) END AS c_mktsegment FROM customer",
     "adhoc_sql": """SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY c_mktsegment""",

@@ -202,8 +202,11 @@ def _forget(spark: SparkSession, path: str, old: list[str], kept: list[str]) ->
     if not old:
         return
     live = {f for p in kept for f in _load(spark, p).folders}
+    versions = {f.split("/")[0] for f in live}
     for pointer in old:
-        for folder in set(_load(spark, pointer).folders) - live:
+        gone = set(_load(spark, pointer).folders) - live
+        # A version goes whole once none of its partitions is live.
+        for folder in {f if f.split("/")[0] in versions else f.split("/")[0] for f in gone}:
             delete(spark, f"{path}/{folder}")
         delete(spark, pointer)
 
