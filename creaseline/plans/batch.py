@@ -1,4 +1,9 @@
-"""The batch dataflow: documents to conformed tables, gate, marts, gate; whole or for changed matches only."""
+"""The batch dataflow: documents to conformed tables, then marts; whole or for changed matches only.
+
+Each layer is written, audited and only then published.  Row conditions are counted while the rows are written, the
+other checks read what was written, and a failed error-level check leaves the tables that readers see as they were.
+What is used more than once is read back from its table, not cached: nothing grows on executors' disks.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,6 @@ import uuid
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +20,16 @@ from creaseline.sources import landing, tables
 #: Tables that are split by season; the others are small.
 BY_SEASON = {
     "deliveries", "wickets", "innings", "substitutions", "match_players", "matches", "innings_summary", "match_summary", "batting_scorecard",
-    "bowling_scorecard", "player_season_batting", "player_season_bowling", "team_phase_stats",
+    "bowling_scorecard", "player_season_batting", "player_season_bowling", "team_phase_stats", "points_table", "venue_parts", "head_to_head_parts",
 }
-#: Marts whose rows of a season come from that season's matches alone.  The others are built from matches and innings.
+#: Marts whose rows of a season come from that season's matches and adjustments alone; the others fold these.
 SEASONAL = {n for n in BY_SEASON if n not in silver.TABLES}
-#: Logs below ``ops``: seasons that a run changes in the conformed tables, and runs whose marts are written.
-TOUCHED, SETTLED = "ops/touched", "ops/settled"
+#: Marts that only other marts read.
+PARTS = {source for source, _ in marts.FOLDS.values()}
+#: Logs below ``ops``: seasons that a run changes in the conformed tables, runs whose marts are written, and the
+#: adjustments that these were written with.
+TOUCHED, SETTLED, ADJUSTED = "ops/touched", "ops/settled", "ops/adjustments"
+RESULTS = "ops/results"
 Tables = dict[str, DataFrame]
 
 
@@ -33,36 +41,50 @@ def stored(spark: SparkSession, root: str, layer: str, names) -> Tables:
     return {n: tables.read(spark, f"{root}/{layer}/{n}") for n in names}
 
 
-def gate(spark: SparkSession, root: str, layer: str, suite: list[quality.Check], found: Tables, run_id: str, stop_on_error: bool) -> None:
-    """Runs a suite as one job, appends its results, then stops the build if an error-level check failed."""
-    results = quality.violation_counts(suite, found)
-    marked = results.select("*", F.lit(layer).alias("layer"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"))
-    marked.coalesce(1).write.mode("append").parquet(f"{root}/ops/results")
-    if stop_on_error:
-        mine = spark.read.parquet(f"{root}/ops/results").where((F.col("run_id") == run_id) & (F.col("layer") == layer))
-        quality.enforce(mine)
-
-
-def write_silver(spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, root: str, changed: DataFrame | None = None) -> None:
-    """Writes the conformed tables; with ``changed`` (match_id) only rows of those matches are replaced.
-
-    Matches come last: a run that breaks off leaves them pending, and the next run does them again.
+def release(
+    spark: SparkSession, root: str, layer: str, suite: list[quality.Check], staged: dict[str, tables.Staged], others: Tables, run_id: str, stop_on_error: bool
+) -> None:
+    """Audits staged tables, stores the results, and publishes the tables in their order, or drops them and raises."""
+    rows = {n: tables.staged_rows(s) for n, s in staged.items()}
+    counts = {name: int(n) for s in staged.values() for name, n in s.counts.items()}
+    results = quality.audit(suite, rows | others, counts)
+    marked = quality.results_frame(spark, results).select("*", F.lit(layer).alias("layer"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"))
+    marked.coalesce(1).write.mode("append").parquet(f"{root}/{RESULTS}")
+    if stop_on_error and quality.failures(results):
+        for s in staged.values():
+            tables.abandon(s)
+        quality.stop(results)
+    for s in staged.values():
+        tables.publish(s)
+
+
+def write_silver(
+    spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, root: str, changed: DataFrame | None = None, run_id: str = "",
+    stop_on_error: bool = True,
+) -> None:
+    """Writes, audits and publishes the conformed tables; with ``changed`` (match_id) only rows of those matches are replaced.
+
+    Matches come last: a run that breaks off leaves them pending, and the next run does them again.  The files of balls
+    hold their wickets as well, so that wickets and innings read balls back instead of computing them again.
     """
-    ball = silver.deliveries(documents).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        replaced = silver.substitutions(documents)
-        frames = {
-            "deliveries": ball.drop("_wickets"), "wickets": silver.wickets(ball), "innings": silver.innings(documents, ball),
-            "substitutions": replaced, "match_players": silver.match_players(documents, replaced), "matches": silver.matches(documents, venues, teams),
-        }
-        for name in silver.TABLES:
-            path = f"{root}/silver/{name}"
-            if changed is None:
-                tables.overwrite(frames[name], path, split(name))
-            else:
-                tables.replace_ids(spark, frames[name], changed, path, "match_id", split(name))
-    finally:
-        ball.unpersist()
+
+    def put(name: str, frame: DataFrame, hidden: tuple[str, ...] = ()) -> tables.Staged:
+        path, counts = f"{root}/silver/{name}", quality.counting(quality.CONFORMED, name)
+        if changed is None:
+            return tables.stage_overwrite(frame, path, split(name), counts, hidden)
+        return tables.stage_replace_ids(spark, frame, changed, path, "match_id", split(name), counts, hidden)
+
+    staged = {"deliveries": put("deliveries", silver.deliveries(documents), ("_wickets",))}
+    ball = tables.written_rows(staged["deliveries"])
+    if changed is not None:
+        ball = ball.join(changed, "match_id", "left_semi")
+    replaced = silver.substitutions(documents)
+    frames = {
+        "wickets": silver.wickets(ball), "innings": silver.innings(documents, ball), "substitutions": replaced,
+        "match_players": silver.match_players(documents, replaced), "matches": silver.matches(documents, venues, teams),
+    }
+    staged |= {name: put(name, frames[name]) for name in silver.TABLES if name in frames}
+    release(spark, root, "silver", quality.CONFORMED, staged, {"venues": venues, "teams": teams}, run_id, stop_on_error)
 
 
 def touch(spark: SparkSession, root: str, run_id: str, documents: DataFrame, changed: DataFrame | None) -> None:
@@ -78,47 +100,61 @@ def touch(spark: SparkSession, root: str, run_id: str, documents: DataFrame, cha
     seasons.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("append").parquet(f"{root}/{TOUCHED}")
 
 
-def out_of_date(spark: SparkSession, root: str) -> tuple[list[dict] | None, list[str]]:
+def adjusted(spark: SparkSession, root: str, adjustments: DataFrame) -> bool:
+    """Whether the adjustments differ from those that the marts were written with."""
+    if tables.current(spark, f"{root}/{ADJUSTED}") is None:
+        return True
+    held = tables.read(spark, f"{root}/{ADJUSTED}").select(*adjustments.columns)
+    return bool(held.exceptAll(adjustments).union(adjustments.exceptAll(held)).limit(1).count())
+
+
+def out_of_date(spark: SparkSession, root: str, adjustments: DataFrame) -> tuple[list[dict] | None, list[str]]:
     """Seasons whose marts are out of date, as partitions (None: all), and the runs that left them so.
 
-    A run that broke off before its marts were written left its seasons here for the next one.
+    A run that broke off before its marts were written left its seasons here for the next one.  New adjustments may
+    name any match, so they put all seasons out of date.
     """
     open_ = spark.read.parquet(f"{root}/{TOUCHED}")
     if tables.exists(spark, f"{root}/{SETTLED}"):
         open_ = open_.join(spark.read.parquet(f"{root}/{SETTLED}"), "run_id", "left_anti")
     rows = open_.distinct().collect()  # a season of an unfinished run each
     runs = sorted({r["run_id"] for r in rows})
-    if any(r["whole"] for r in rows) or any(tables.current(spark, f"{root}/gold/{n}") is None for n in SEASONAL):
+    whole = any(r["whole"] for r in rows) or any(tables.current(spark, f"{root}/gold/{n}") is None for n in SEASONAL)
+    if whole or adjusted(spark, root, adjustments):
         return None, runs
     return [{"season": s} for s in {r["season"] for r in rows}], runs
 
 
-def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame, root: str) -> list[str]:
-    """Writes the marts; their names.  Those by season are built and replaced only for seasons that are out of date."""
-    seasons, runs = out_of_date(spark, root)
-    if seasons is None:
-        narrowed = conformed
-    else:
+def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame, root: str, run_id: str = "", stop_on_error: bool = True) -> list[str]:
+    """Writes, audits and publishes the marts; the names of those for readers.
+
+    Only seasons that are out of date are read and replaced; marts over all seasons are folded from what the seasons
+    add, which is stored.  Season marts read the scorecards back from where they were written.
+    """
+    seasons, runs = out_of_date(spark, root, adjustments)
+    narrowed = conformed
+    if seasons is not None:
         # Literals prune the scans of the tables that are split by season.
         mine = reduce(or_, [F.col("season").eqNullSafe(F.lit(s["season"])) for s in seasons], F.lit(False))
         narrowed = {n: df.where(mine) for n, df in conformed.items()}
-    built = marts.build(narrowed, adjustments)
-    if seasons is not None:
-        built |= marts.across_seasons(conformed, adjustments)
-    try:
-        for name, frame in built.items():
-            path = f"{root}/gold/{name}"
-            if seasons is None or name not in SEASONAL:
-                tables.overwrite(frame, path, split(name))
-            elif seasons:
-                tables.replace_partitions(spark, frame, seasons, path, split(name))
-    finally:
-        built["batting_scorecard"].unpersist()
-        built["bowling_scorecard"].unpersist()
+
+    def put(name: str, frame: DataFrame) -> tables.Staged:
+        path, counts = f"{root}/gold/{name}", quality.counting(quality.MARTS, name)
+        if seasons is None or name not in SEASONAL:
+            return tables.stage_overwrite(frame, path, split(name), counts)
+        return tables.stage_replace_partitions(spark, frame, seasons, path, split(name), counts)
+
+    staged = {name: put(name, frame) for name, frame in marts.scorecards(narrowed).items()}
+    cards = {name: tables.written_rows(s) for name, s in staged.items()}
+    staged |= {name: put(name, frame) for name, frame in marts.by_season(narrowed, cards, adjustments).items()}
+    staged |= {name: put(name, fold(tables.staged_rows(staged[source]))) for name, (source, fold) in marts.FOLDS.items()}
+    release(spark, root, "gold", quality.MARTS, staged, {}, run_id, stop_on_error)
+    if seasons is None:
+        tables.overwrite(adjustments, f"{root}/{ADJUSTED}")
     if runs:
         done = spark.createDataFrame([(r,) for r in runs], "run_id string")
         done.coalesce(1).write.mode("append").parquet(f"{root}/{SETTLED}")
-    return list(built)
+    return [name for name in staged if name not in PARTS]
 
 
 def build(
@@ -128,12 +164,9 @@ def build(
     """Everything below ``root``; returns the stored tables of both layers.  Marts are built from stored tables."""
     run_id = uuid.uuid4().hex
     touch(spark, root, run_id, documents, changed)
-    write_silver(spark, documents, venues, teams, root, changed)
+    write_silver(spark, documents, venues, teams, root, changed, run_id, stop_on_error)
     conformed = stored(spark, root, "silver", silver.TABLES)
-    gate(spark, root, "silver", quality.CONFORMED, conformed | {"venues": venues, "teams": teams}, run_id, stop_on_error)
-    final = stored(spark, root, "gold", write_marts(spark, conformed, adjustments, root))
-    gate(spark, root, "gold", quality.MARTS, final, run_id, stop_on_error)
-    return conformed | final
+    return conformed | stored(spark, root, "gold", write_marts(spark, conformed, adjustments, root, run_id, stop_on_error))
 
 
 def refresh(

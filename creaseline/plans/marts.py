@@ -202,34 +202,50 @@ def points_table(matches: DataFrame, innings: DataFrame, adjustments: DataFrame)
     return rated.withColumn("position", F.row_number().over(Window.partitionBy("season").orderBy(*order)))
 
 
-def venue_stats(matches: DataFrame, innings: DataFrame) -> DataFrame:
-    """Per venue: results, averages of games with a full chase, extremes with their owners (the first city by name)."""
+def venue_parts(matches: DataFrame, innings: DataFrame) -> DataFrame:
+    """What a season adds to its venues: counts, sums, extremes with their owners; :func:`venue_fold` adds them up."""
     m = matches.join(both_innings(innings), "match_id", "left")
     won, full = F.col("result_type") == "win", F.col("i2.target_balls") == 120
-    per = m.groupBy("venue").agg(
-        F.min("city").alias("city"), F.count(F.lit(1)).cast("int").alias("matches"), F.min("season").alias("first_season"),
-        F.max("season").alias("last_season"), rules.count_if(won).alias("decided"),
+    per = m.groupBy("season", "venue").agg(
+        F.min("city").alias("city"), F.count(F.lit(1)).cast("int").alias("matches"), rules.count_if(won).alias("decided"),
         rules.count_if(won & (F.col("winner") == F.col("i1.batting_team"))).alias("bat_first_wins"),
         rules.count_if(won & (F.col("winner") == F.col("i2.batting_team"))).alias("chasing_wins"),
-        F.round(F.avg(F.when(full, F.col("i1.runs"))), 1).alias("avg_first_innings_runs"),
-        F.round(F.avg(F.when(full, F.col("i2.runs"))), 1).alias("avg_second_innings_runs"),
-        rules.count_if(won & (F.col("toss_winner") == F.col("winner"))).alias("_toss"),
-        rules.count_if(F.col("toss_decision") == "field").alias("_field"),
+        *[F.sum(F.when(full, F.col(f"{i}.runs"))).alias(f"{i}_runs") for i in ("i1", "i2")],
+        *[F.count(F.when(full, F.col(f"{i}.runs"))).alias(f"{i}_games") for i in ("i1", "i2")],
+        rules.count_if(won & (F.col("toss_winner") == F.col("winner"))).alias("toss_wins"),
+        rules.count_if(F.col("toss_decision") == "field").alias("fielded_first"),
     )
     total = F.struct("runs", "batting_team", "season")
     extremes = (
-        innings.where("not is_super_over").join(matches.select("match_id", "venue"), "match_id").groupBy("venue")
-        .agg(F.max(total).alias("_high"), F.min(F.when(F.col("all_out"), total)).alias("_low"))
+        innings.where("not is_super_over").join(matches.select("match_id", "venue"), "match_id").groupBy("season", "venue")
+        .agg(F.max(total).alias("high"), F.min(F.when(F.col("all_out"), total)).alias("low"))
+    ).withColumnsRenamed({"season": "_season", "venue": "_venue"})
+    there = F.col("season").eqNullSafe(F.col("_season")) & (F.col("venue") == F.col("_venue"))
+    return per.join(extremes, there, "left").drop("_season", "_venue")
+
+
+def venue_fold(parts: DataFrame) -> DataFrame:
+    """Per venue: results, averages of games with a full chase, extremes with their owners (the first city by name)."""
+    counts = ("matches", "decided", "bat_first_wins", "chasing_wins", "toss_wins", "fielded_first")
+    mean = lambda i: F.round(F.sum(f"{i}_runs") / F.nullif(F.sum(f"{i}_games"), F.lit(0)), 1)
+    per = parts.groupBy("venue").agg(
+        F.min("city").alias("city"), F.min("season").alias("first_season"), F.max("season").alias("last_season"), *[rules.total(c).alias(c) for c in counts],
+        mean("i1").alias("avg_first_innings_runs"), mean("i2").alias("avg_second_innings_runs"), F.max("high").alias("_high"), F.min("low").alias("_low"),
     )
-    return per.join(extremes, "venue", "left").select(
-        *[c for c in per.columns if c[0] != "_"], rules.rate("chasing_wins", "decided", 100, 1).alias("chasing_win_pct"),
-        rules.rate("_toss", "decided", 100, 1).alias("toss_winner_win_pct"), rules.rate("_field", "matches", 100, 1).alias("field_first_pct"),
+    return per.select(
+        "venue", "city", "matches", "first_season", "last_season", "decided", "bat_first_wins", "chasing_wins", "avg_first_innings_runs", "avg_second_innings_runs",
+        rules.rate("chasing_wins", "decided", 100, 1).alias("chasing_win_pct"),
+        rules.rate("toss_wins", "decided", 100, 1).alias("toss_winner_win_pct"), rules.rate("fielded_first", "matches", 100, 1).alias("field_first_pct"),
         F.col("_high.runs").alias("highest_total"), F.col("_high.batting_team").alias("highest_total_team"),
         F.col("_high.season").alias("highest_total_season"), F.col("_low.runs").alias("lowest_all_out_total"),
         F.col("_low.batting_team").alias("lowest_all_out_team"),
     )
 
 
+def venue_stats(matches: DataFrame, innings: DataFrame) -> DataFrame:
+    return venue_fold(venue_parts(matches, innings))
+
+
 def phase_stats(balls: DataFrame) -> DataFrame:
     """Each phase of a season from both sides: a ball counts once for the batting and once for the bowling team.
 
@@ -251,36 +267,50 @@ def phase_stats(balls: DataFrame) -> DataFrame:
     )
 
 
-def head_to_head(matches: DataFrame, adjustments: DataFrame) -> DataFrame:
-    """Unordered pairs of franchises; the last winner is null if the last meeting (of a day, the last match) had none."""
+def head_to_head_parts(matches: DataFrame, adjustments: DataFrame) -> DataFrame:
+    """What a season adds to unordered pairs of franchises; :func:`head_to_head_fold` adds them up."""
     void = adjustments.where("adjustment = 'void'").select("match_id")
     met = matches.join(void, "match_id", "left_anti").select(
         "*", F.least("team1_franchise", "team2_franchise").alias("franchise_a"), F.greatest("team1_franchise", "team2_franchise").alias("franchise_b")
     )
     won_by = lambda side: rules.count_if(F.col("winner_franchise") == F.col(side))
-    return met.groupBy("franchise_a", "franchise_b").agg(
+    meeting = F.struct(F.col("match_date"), F.col("match_id").cast("long").alias("match_id"), F.col("winner_franchise").alias("winner"))
+    return met.groupBy("season", "franchise_a", "franchise_b").agg(
         F.count(F.lit(1)).cast("int").alias("matches"), won_by("franchise_a").alias("franchise_a_wins"), won_by("franchise_b").alias("franchise_b_wins"),
         rules.count_if(F.col("result_type") == "tie").alias("super_over_finishes"), rules.count_if(F.col("result_type") == "no_result").alias("no_results"),
-        F.min("match_date").alias("first_match_date"), F.max("match_date").alias("last_match_date"),
-        F.max_by("winner_franchise", F.struct(F.col("match_date"), F.col("match_id").cast("long"))).alias("last_winner"),
+        F.min("match_date").alias("first_match_date"), F.max(meeting).alias("last_meeting"),
     )
 
 
-def across_seasons(t: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFrame]:
-    """Marts from matches and innings, whose rows may stand on many seasons or on the adjustments."""
+def head_to_head_fold(parts: DataFrame) -> DataFrame:
+    """Unordered pairs of franchises; the last winner is null if the last meeting (of a day, the last match) had none."""
+    counts = ("matches", "franchise_a_wins", "franchise_b_wins", "super_over_finishes", "no_results")
+    return parts.groupBy("franchise_a", "franchise_b").agg(
+        *[rules.total(c).alias(c) for c in counts], F.min("first_match_date").alias("first_match_date"), F.max("last_meeting").alias("_last"),
+    ).select("franchise_a", "franchise_b", *counts, "first_match_date", F.col("_last.match_date").alias("last_match_date"), F.col("_last.winner").alias("last_winner"))
+
+
+def head_to_head(matches: DataFrame, adjustments: DataFrame) -> DataFrame:
+    return head_to_head_fold(head_to_head_parts(matches, adjustments))
+
+
+def scorecards(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The marts that other marts are built from."""
     return {
-        "points_table": points_table(t["matches"], t["innings"], adjustments), "venue_stats": venue_stats(t["matches"], t["innings"]),
-        "head_to_head": head_to_head(t["matches"], adjustments),
+        "batting_scorecard": batting_scorecard(t["deliveries"], t["wickets"], t["match_players"]), "bowling_scorecard": bowling_scorecard(t["deliveries"], t["match_players"]),
     }
 
 
-def build(t: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFrame]:
-    """All marts; scorecards are cached, since the season marts read them again (unpersist them after writing)."""
-    batting = batting_scorecard(t["deliveries"], t["wickets"], t["match_players"]).cache()
-    bowling = bowling_scorecard(t["deliveries"], t["match_players"]).cache()
+def by_season(t: dict[str, DataFrame], cards: dict[str, DataFrame], adjustments: DataFrame) -> dict[str, DataFrame]:
+    """Marts whose rows of a season come from that season alone; ``cards`` are :func:`scorecards`, best as stored."""
     return {
         "innings_summary": innings_summary(t["matches"], t["innings"]), "match_summary": match_summary(t["matches"], t["innings"]),
-        "batting_scorecard": batting, "bowling_scorecard": bowling, "player_season_batting": season_batting(batting, t["match_players"]),
-        "player_season_bowling": season_bowling(bowling, t["match_players"]), "team_phase_stats": phase_stats(t["deliveries"]),
-        **across_seasons(t, adjustments),
+        "player_season_batting": season_batting(cards["batting_scorecard"], t["match_players"]),
+        "player_season_bowling": season_bowling(cards["bowling_scorecard"], t["match_players"]), "team_phase_stats": phase_stats(t["deliveries"]),
+        "points_table": points_table(t["matches"], t["innings"], adjustments), "venue_parts": venue_parts(t["matches"], t["innings"]),
+        "head_to_head_parts": head_to_head_parts(t["matches"], adjustments),
     }
+
+
+#: Marts over all seasons, from what each season adds.
+FOLDS = {"venue_stats": ("venue_parts", venue_fold), "head_to_head": ("head_to_head_parts", head_to_head_fold)}

@@ -72,13 +72,14 @@ class State:
 
 @dataclass(frozen=True)
 class Staged:
-    """A state that is written but not yet the table, and what was counted while it was written."""
+    """A state that is written but not yet the table, what was counted while it was written, and all columns of its files."""
 
     spark: SparkSession
     path: str
     state: State
     written: tuple[str, ...]
     counts: dict[str, object] = field(default_factory=dict)
+    whole: StructType | None = None
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -223,9 +224,16 @@ def abandon(staged: Staged) -> None:
 
 
 def staged_rows(staged: Staged) -> DataFrame:
+    """The table as it would be."""
     return _rows(staged.spark, staged.path, staged.state)
 
 
+def written_rows(staged: Staged) -> DataFrame:
+    """What was written now, with the columns that the table hides."""
+    names = [F.col(f"`{c}`") for c in staged.whole.names]
+    return _scan(staged.spark, staged.path, staged.whole, staged.written).select(*names)
+
+
 def _store(df: DataFrame, path: str, partition_by: Sequence[str]) -> list[str]:
     """Writes a version folder; the folders of its partitions."""
     spark, version = df.sparkSession, f"{VERSION}={uuid.uuid4().hex}"
@@ -259,11 +267,19 @@ def _next(before: State | None) -> int:
     return before.number + 1 if before else 1
 
 
-def stage_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), counts: dict[str, Column] | None = None) -> Staged:
-    spark = df.sparkSession
-    before = state(spark, path)
+def _stage(
+    before: State | None, kept: Sequence[str], df: DataFrame, path: str, partition_by: Sequence[str], counts: dict[str, Column] | None, hidden: Sequence[str]
+) -> Staged:
     folders, found = _counted(df, path, partition_by, counts)
-    return Staged(spark, path, State(_next(before), df.schema, tuple(folders)), tuple(folders), found)
+    new = State(_next(before), df.drop(*hidden).schema, (*kept, *folders))
+    return Staged(df.sparkSession, path, new, tuple(folders), found, df.schema)
+
+
+def stage_overwrite(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), counts: dict[str, Column] | None = None, hidden: Sequence[str] = ()
+) -> Staged:
+    """A full refresh to be published; ``hidden`` columns are in the files but not in the table."""
+    return _stage(state(df.sparkSession, path), (), df, path, partition_by, counts, hidden)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -305,8 +321,7 @@ def stage_replace_partitions(
     near = within(before.folders, values) if values else []
     touched = _names(_scan(spark, path, before.schema, near).where(named).select(_inside(len(partition_by)))) if near else set()
     kept = [f for f in before.folders if f not in touched]
-    folders, found = _counted(new.where(named), path, partition_by, counts)
-    return Staged(spark, path, State(_next(before), new.schema, (*kept, *folders)), tuple(folders), found)
+    return _stage(before, kept, new.where(named), path, partition_by, counts, ())
 
 
 def replace_partitions(spark: SparkSession, new: DataFrame, values: Sequence[dict], path: str, partition_by: Sequence[str]) -> None:
@@ -318,11 +333,12 @@ def replace_partitions(spark: SparkSession, new: DataFrame, values: Sequence[dic
 
 
 def stage_replace_ids(
-    spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), counts: dict[str, Column] | None = None
+    spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), counts: dict[str, Column] | None = None,
+    hidden: Sequence[str] = (),
 ) -> Staged:
     before = state(spark, path)
     if before is None:
-        return stage_overwrite(new, path, partition_by, counts)
+        return stage_overwrite(new, path, partition_by, counts, hidden)
     near, keys = list(before.folders), [key, *[c for c in partition_by if c in ids.columns]]
     values = None
     if len(keys) > 1:
@@ -339,9 +355,7 @@ def stage_replace_ids(
     touched |= {f for folders in _crowded(near).values() for f in folders}
     kept = [f for f in before.folders if f not in touched]
     again = _rows(spark, path, before, [f for f in before.folders if f in touched])
-    changed = replace_for_ids(again, ids, new, key)
-    folders, found = _counted(changed, path, partition_by, counts)
-    return Staged(spark, path, State(_next(before), changed.schema, (*kept, *folders)), tuple(folders), found)
+    return _stage(before, kept, replace_for_ids(again, ids, new, key), path, partition_by, counts, hidden)
 
 
 def replace_ids(spark: SparkSession, new: DataFrame, ids: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
