@@ -8,8 +8,6 @@ What is used more than once is read back from its table, not cached: nothing gro
 from __future__ import annotations
 
 import uuid
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,9 +132,8 @@ def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame,
     seasons, runs = out_of_date(spark, root, adjustments)
     narrowed = conformed
     if seasons is not None:
-        # Literals prune the scans of the tables that are split by season.
-        mine = reduce(or_, [F.col("season").eqNullSafe(F.lit(s["season"])) for s in seasons], F.lit(False))
-        narrowed = {n: df.where(mine) for n, df in conformed.items()}
+        # The conformed tables are split by season; folders of other seasons are not even listed.
+        narrowed = {n: tables.read(spark, f"{root}/silver/{n}", only=seasons) for n in silver.TABLES}
 
     def put(name: str, frame: DataFrame) -> tables.Staged:
         path, counts = f"{root}/gold/{name}", quality.counting(quality.MARTS, name)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creaseline import shaped
-from creaseline.operators import keyed
+from creaseline.operators import keyed, ranges
 from creaseline.plans import quality, serve, silver
 from creaseline.queries.flat import flat
 from creaseline.shaped import LINE_ORDER, table
@@ -270,6 +270,43 @@ def merge_all(spark, sf_dir):
     return flat(keyed.merge_upsert(c.where("c_custkey % 3 <> 2"), news, ["c_custkey"]))
 
 
+def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as windows of time, from an instant to almost six hours, which overlap."""
+    low = F.timestamp_add("SECOND", (F.col("c_custkey") * 7919) % 2592000, F.lit("2024-01-01").cast("timestamp"))
+    size = F.col("c_custkey") % 13
+    windows = table(spark, sf_dir, "customer").select("c_custkey", F.pmod("c_nationkey", F.lit(5)).alias("kind"), low.alias("low"), (size * size * size * size).alias("size"))
+    return windows.select("c_custkey", "kind", "low", F.timestamp_add("SECOND", F.col("size"), F.col("low")).alias("high"))
+
+
+def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.pmod("user_id", F.lit(5)).alias("kind"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def in_ranges_table(spark, sf_dir):
+    """Events with the number of windows of their kind that they fall into."""
+    return flat(ranges.covered(_instants(spark, sf_dir), _windows(spark, sf_dir), "ts", "low", "high", ["event_id"], ["kind"]), "event_id", "in_ranges")
+
+
+def range_join(spark, sf_dir):
+    """Windows with the events that fall into them: how many, and the first and last."""
+    pairs = ranges.range_pairs(_instants(spark, sf_dir), _windows(spark, sf_dir), "ts", "low", "high", ["kind"])
+    found = pairs.groupBy(F.col("range.c_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("events"), F.min("point.event_id").alias("least_id"), F.max("point.event_id").alias("largest_id"))
+    return flat(found)
+
+
+def dq_audit(spark, sf_dir):
+    """Checks on lines with their counts and five least rows: conditions in one scan, repeated keys in one pass."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").cast("int").alias("quantity"))
+    suite = [
+        quality.Check("at_most_49", "lines", quality.rows_where("quantity > 49"), "warn", "fewer than fifty of a part"),
+        quality.Check("some", "lines", quality.rows_where("quantity < 1")),
+        quality.Check("one_line_a_supplier", "lines", quality.duplicated("lines", "l_orderkey", "l_suppkey")),
+    ]
+    results = quality.results_frame(spark, quality.audit(suite, {"lines": lines}))
+    return flat(results, "check", "table", "severity", "description", "passed", "violations", "sample")
+
+
 def adhoc_sql(spark, sf_dir):
     tables.views(spark, {n: table(spark, sf_dir, n) for n in ("orders", "customer")})
     return flat(spark.sql("""SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
@@ -281,7 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_per_key, dedupe_first, pending_versions, replace_for_ids, merge_insert_only, merge_upsert, merge_coalesce, first_appearance_order, partition_count, landing_classify,
         landing_lineage, landing_problems, dq_unique_key, dq_orphans, dq_parent_reconcile_orders, live_board, latest_run_rows, activity_windows, feed_activity, dlq_by_reason,
-        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, sink_batch_replay, sink_two_apps, stream_commits, merge_all, adhoc_sql,
+        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, sink_batch_replay, sink_two_apps, stream_commits, in_ranges_table, range_join, dq_audit, merge_all, adhoc_sql,
     )
 }
 
@@ -290,6 +327,10 @@ _CLASSIFIED = """SELECT doc_id, sha256(text) AS sha256, CASE WHEN doc_id % 2 <>
 _REASONS = """CASE event_id % 20 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'unsupported_schema_version' WHEN 2 THEN 'missing_required_field' WHEN 3 THEN 'unknown_event_type'
     WHEN 4 THEN 'key_mismatch' WHEN 5 THEN 'invalid_delivery_payload' WHEN 6 THEN 'runs_inconsistent' ELSE 'valid' END"""
 
+_WINDOWS = """SELECT *, low + to_seconds((c_custkey % 13) ** 4) AS high FROM (SELECT c_custkey, c_nationkey % 5 AS kind,
+    TIMESTAMP '2024-01-01' + to_seconds(c_custkey * 7919 % 2592000) AS low FROM customer)"""
+_PAIRS = f"SELECT event_id, c_custkey FROM events JOIN ({_WINDOWS}) w ON user_id % 5 = kind AND ts BETWEEN low AND high"
+
 ORACLE_SQL = {
     "latest_per_key": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
     "dedupe_first": "SELECT event_id, user_id, event_type, 0 AS copy FROM events",
@@ -327,6 +368,15 @@ ORACLE_SQL = {
     "sink_batch_replay": "SELECT o_orderkey, CASE WHEN o_custkey % 4 = 3 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, o_custkey % 4 AS ingest_batch_id FROM orders",
     "sink_two_apps": "SELECT o_orderkey, o_orderstatus, (o_custkey % 4) // 2 AS ingest_batch_id FROM orders",
     "stream_commits": "SELECT o_orderkey, o_orderstatus, o_custkey % 12 AS ingest_batch_id FROM orders",
+    "in_ranges_table": f"SELECT e.event_id, count(c_custkey) AS in_ranges FROM events e LEFT JOIN ({_PAIRS}) p ON e.event_id = p.event_id GROUP BY ALL",
+    "range_join": f"SELECT c_custkey, count(*) AS events, min(event_id) AS least_id, max(event_id) AS largest_id FROM ({_PAIRS}) GROUP BY ALL",
+    "dq_audit": """WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, trunc(l_quantity)::INT AS quantity FROM lineitem),
+        bad AS (SELECT 'at_most_49' AS "check", '{"l_orderkey": ' || l_orderkey || ', "l_linenumber": ' || l_linenumber || ', "l_suppkey": ' || l_suppkey || ', "quantity": ' || quantity || '}' AS t FROM l WHERE quantity > 49
+            UNION ALL SELECT 'one_line_a_supplier', '{"l_orderkey": ' || l_orderkey || ', "l_suppkey": ' || l_suppkey || ', "count": ' || count(*) || '}' FROM l GROUP BY l_orderkey, l_suppkey HAVING count(*) > 1),
+        few AS (SELECT *, count(*) OVER (PARTITION BY "check") AS n FROM bad QUALIFY row_number() OVER (PARTITION BY "check" ORDER BY t) <= 5),
+        found AS (SELECT "check", any_value(n) AS n, '[' || string_agg(t, ', ' ORDER BY t) || ']' AS sample FROM few GROUP BY "check")
+        SELECT c."check", 'lines' AS "table", severity, description, n IS NULL AS passed, coalesce(n, 0) AS violations, coalesce(sample, '[]') AS sample
+        FROM (VALUES ('at_most_49', 'warn', 'fewer than fifty of a part'), ('some', 'error', ''), ('one_line_a_supplier', 'error', '')) c("check", severity, description) LEFT JOIN found f ON f."check" = c."check" """,
     "merge_all": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE lower(c_mktsegment) END AS c_mktsegment FROM customer",
     "adhoc_sql": """SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY c_mktsegment""",

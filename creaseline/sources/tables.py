@@ -242,6 +242,8 @@ def _store(df: DataFrame, path: str, partition_by: Sequence[str]) -> list[str]:
     if not partition_by:
         return [version]
     found = _matching(spark, f"{path}/{version}" + "/*=*" * len(partition_by))
+    if not found:
+        delete(spark, f"{path}/{version}")  # no rows
     return [version + f.rpartition(f"/{version}")[2] for f in found]
 
 
