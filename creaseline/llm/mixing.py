@@ -1,35 +1,42 @@
-"""Mixing sources to target weights by a closed-form schedule; DataFrame operations only.
+"""Mixing sources to target weights by Pfair scheduling; DataFrame operations only.
 
-A source's documents are dealt into blocks of ``block_rows``, and each slot of the output takes one block.  Sources
-are leaves of a binary tree that halves the weight again and again.  Of the first n slots of a node whose children
-weigh a and b, the first child has floor(n a / (a + b) + 1/2) and the second the rest, so both counts and places
-follow by arithmetic from the path of a source: all rows are placed in parallel, for any number of sources and any
-length, and each slot has exactly one block.
+A source's documents are dealt into blocks, and each slot of the output takes one block.  A source of weight w has
+for its block j (from 0) a release time floor(j / w) and a deadline ceil((j + 1) / w), and every slot goes to the
+released block of earliest deadline (of ties the first source).  So in every prefix of the output each source is
+less than one block away from its weight times the prefix.
 
-A level of the tree adds half a block of error and shrinks that of the levels above by the child's share: in every
-prefix of the output a source is at most (1 + sum of w / W over the inner nodes W above it, but the root) / 2 blocks away from
-its weight w times the prefix.  The bound does not grow with the length.
+Who is next depends on all slots before, so the schedule is made once, from the weights alone, in one task: a *plan* of
+at most ``MAX_SLOTS`` slots; blocks get more rows as the corpus grows.  The plan is a table of (slot, source, block),
+and documents find their slots by joining it on source and block, which no key can skew: a block has its rows and no more.
+
+The plan is worked out in chunks of slots.  Only the released blocks of earliest deadlines, as many as the chunk has
+slots, and the blocks that are released inside it can be taken, so a slot costs the same for any number of sources,
+and a chunk looks at each source once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creaseline.llm.common import materialise, number_within, partitions
 
+#: Rows of a block at least; more where the plan would be too long.
 BLOCK_ROWS = 32
-SLOTS = 1000
+#: Slots of a repeating period of rounded weights, and of a plan at most.
+SLOTS, MAX_SLOTS = 1000, 1 << 18
+#: Slots that are worked out together.
+CHUNK = 32
 #: Weights are integers of about this sum; no source has less than 1.
 WEIGHT_SUM = 1 << 40
-#: Levels of the tree: midpoints of two sources differ in this many bits.
-LEVELS = 42
 #: Weights by default: the source's share of rows to this power, so that large sources count a little less.
 TEMPERING = 0.9
 #: Repetitions of a source that is smaller than its weight asks for; None: as many as its weight asks for.  With a
 #: number its later slots stay empty, so the mixture leaves its weights.
 MAX_EPOCHS = None
-#: Repetitions of a row that are listed together.
+#: Blocks of a source that are listed together.
 STRIDE = 64
 #: Columns that :func:`mix` adds.
 PLACE = ("_epoch", "_block", "_slot", "_position")
@@ -43,8 +50,8 @@ def tempered_weights(docs: DataFrame, power: float = TEMPERING) -> DataFrame:
 def parts(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``source, parts``: positive weights as integers that sum to ``slots``, at least 1, by largest remainder.
 
-    Sources without a positive finite weight are left out.  More than ``slots`` sources are an error.  This and
-    :func:`period` make a repeating schedule of rounded weights; :func:`mix` does not use them.
+    Sources without a positive finite weight are left out.  More than ``slots`` sources are an error.  These
+    are the shares of a :func:`period`; :func:`mix` schedules exact weights.
     """
     everyone = Window.partitionBy()
     usable = weights.where((F.col("weight") > 0) & (F.col("weight") < float("inf")))
@@ -65,119 +72,138 @@ def parts(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def _next_block(state: Column, slot: Column, q: Column, slots: int) -> Column:
-    """One step of earliest deadline first: ``state`` is (blocks done by source, sources chosen so far)."""
-    done = state["done"]
-    windows = F.transform(
-        q,
-        lambda parts, i: F.when(
-            (F.get(done, i) < parts) & (F.floor(F.get(done, i) * slots / parts) <= slot),
-            F.struct(F.ceil((F.get(done, i) + 1) * slots / parts).alias("deadline"), i.alias("i")),
-        ),
-    )
-    chosen = F.array_min(F.filter(windows, lambda w: w.isNotNull()))["i"]
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def _block(j: Column, i: Column, q: Column, total: Column) -> Column:
+    """Block j of source i as (deadline, source, release, j); in that order blocks are taken."""
     return F.struct(
-        F.transform(done, lambda n, i: n + F.when(i == chosen, 1).otherwise(0)).alias("done"),
-        F.concat(state["chosen"], F.array(chosen)).alias("chosen"),
+        _div((j + 1) * total + q - 1, q).alias("d"), i.cast("int").alias("i"), _div(j * total, q).alias("r"), j.alias("j")
     )
 
 
-def period(shares: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``source, parts, nth, slot``: the slots of one period and which block in turn each takes."""
-    listed = shares.agg(F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("s"))
-    q = F.col("q")
-    start = F.struct(
-        F.transform("q", lambda _: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("chosen")
-    )
-    run = F.aggregate(
-        F.when(F.size("q") > 0, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array().cast("array<int>")),
-        start,
-        lambda state, slot: _next_block(state, slot, q, slots),
-    )
-    chosen = listed.withColumn("q", F.col("s.parts")).select("s", F.posexplode(run["chosen"]).alias("slot", "i"))
-    nth = F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1
-    return chosen.select(
-        F.get("s", F.col("i"))["source"].alias("source"),
-        F.get("s", F.col("i"))["parts"].alias("parts"),
-        nth.alias("nth"),
-        "slot",
-    )
+def _candidates(done: Column, q: Column, total: Column, start: Column, end: Column) -> Column:
+    """The blocks that slots from ``start`` to before ``end`` may take, by deadline."""
+    heads = F.transform(q, lambda w, i: _block(done[i], i, w, total))
+    waiting = F.slice(F.array_sort(F.filter(heads, lambda x: x["r"] <= start)), 1, CHUNK)
+    # Of the blocks released after the first slot: from the first that is not done and released then, to the last.
+    low = lambda w, i: F.greatest(done[i], _div((start + 1) * w + total - 1, total))
+    high = lambda w: _div(end * w + total - 1, total) - 1
+    spans = F.filter(F.transform(q, lambda w, i: F.struct(i.alias("i"), w.alias("w"), low(w, i).alias("a"), high(w).alias("b"))), lambda x: x["a"] <= x["b"])
+    fresh = F.flatten(F.transform(spans, lambda x: F.transform(F.sequence(x["a"], x["b"]), lambda j: _block(j, x["i"], x["w"], total))))
+    return F.array_sort(F.concat(waiting, fresh))
 
 
-def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))
+def _take(blocks: Column, start: Column, end: Column) -> Column:
+    """Earliest deadline first: for each slot the source and block that it takes."""
+    none = F.array().cast("array<struct<i: int, j: bigint>>")
 
+    def slot(state: Column, at: Column) -> Column:
+        first = F.filter(state["left"], lambda x: x["r"] <= at)[0]
+        return _let(first, lambda x: F.struct(
+            F.filter(state["left"], lambda y: (y["d"] != x["d"]) | (y["i"] != x["i"])).alias("left"),
+            F.concat(state["taken"], F.array(F.struct(x["i"].alias("i"), x["j"].alias("j")))).alias("taken"),
+        ))
 
-def _times(a: Column, b: Column) -> Column:
-    return a.cast("decimal(20,0)") * b.cast("decimal(17,0)")
+    return F.aggregate(F.sequence(start, end - 1), F.struct(blocks.alias("left"), none.alias("taken")), slot, lambda state: state["taken"])
 
 
-def tree_paths(weights: DataFrame) -> DataFrame:
-    """``_of, path``: a source as struct, and for each split from the root its side (0, 1) and both weights.
+def schedule(shares: DataFrame, slots: Column | None = None) -> DataFrame:
+    """``source, parts, nth, slot``: which block of which source each slot takes, by earliest deadline.
 
-    Sources without a positive finite weight are left out.  The tree splits the sources' midpoints on a scale of
-    cumulated weight, heavy sources first, at halves, quarters and so on.
+    ``shares`` has source and parts, its weight as a positive integer; ``slots`` is how many slots to fill, an aggregate
+    over ``shares``, by default the sum of parts.  Nobody is more than a block ahead or behind in any prefix.
     """
-    usable = weights.where((F.col("weight") > 0) & (F.col("weight") < float("inf"))).groupBy("source").agg(F.sum("weight").alias("weight"))
-    whole = F.broadcast(usable.agg(F.sum("weight").alias("_sum")))  # a single row
-    parts_ = F.greatest(F.lit(1), F.round(F.col("weight") / F.col("_sum") * WEIGHT_SUM)).cast("long")
-    # Prefix sums on two levels, so that no task holds all sources: classes of weight by ranges of hashes, then inside.
-    mixed = F.xxhash64("source")
-    sized = usable.crossJoin(whole).select(F.struct("source").alias("_of"), parts_.alias("q"), mixed.alias("_mixed"))
-    bucket = F.struct((-F.floor(F.log2("q"))).alias("_class"), F.shiftrightunsigned("_mixed", 58).alias("_bucket"))
-    sized = sized.withColumn("_key", bucket)
-    before = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)  # 64 rows a class of weight at most
-    sums = sized.groupBy("_key").agg(F.sum("q").alias("_q"))
-    starts = sums.select(F.col("_key").alias("_at"), F.coalesce(F.sum("_q").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_key").orderBy("_mixed", "_of").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.col("_start") + F.sum("q").over(inside)
-    total = F.broadcast(sized.agg(F.sum("q").alias("_total")))  # a single row
-    code = _div(_times(2 * F.col("_end") - F.col("q"), F.lit(1 << LEVELS)), 2 * F.col("_total"))
-    placed = sized.join(starts, F.col("_key") == F.col("_at")).withColumn("_end", end).crossJoin(total)
-    coded = placed.select("_of", "q", "_total", code.alias("_code"))
-    levels = F.explode(F.sequence(F.lit(1), F.lit(LEVELS)))
-    nodes = coded.select("_of", "q", "_total", "_code", levels.alias("level")).withColumn(
-        "node", F.expr(f"shiftright(_code, {LEVELS} - level)")
-    )
-    held = nodes.groupBy(F.col("level").alias("_l"), F.col("node").alias("_n")).agg(F.sum("q").alias("_held"))
-    steps = nodes.join(held, (F.col("level") == F.col("_l")) & (F.col("node") == F.col("_n"))).groupBy("_of").agg(
-        F.first("_total").alias("_total"),
-        F.sort_array(F.collect_list(F.struct("level", (F.col("node") % 2).alias("side"), F.col("_held").alias("own")))).alias("_steps"),
-    )
+    ends = F.sum("parts") if slots is None else slots
+    listed = shares.agg(
+        F.array_sort(F.collect_list(F.struct(F.struct("source").alias("of"), F.col("parts").cast("long").alias("q")))).alias("s"),
+        F.sum(F.col("parts").cast("long")).alias("total"), ends.cast("long").alias("slots"),
+    ).where("slots > 0").select("*", F.col("s.q").alias("q"))
+    q, total, end = F.col("q"), F.col("total"), F.col("slots")
+    none = F.array().cast("array<array<struct<i: int, j: bigint>>>")
 
-    def split(step: Column, i: Column) -> Column:
-        rest = F.when(i == 0, F.col("_total")).otherwise(F.get("_steps", i - 1)["own"]) - step["own"]
-        first, second = F.when(step["side"] == 0, step["own"]).otherwise(rest), F.when(step["side"] == 0, rest).otherwise(step["own"])
-        return F.struct(step["side"].alias("side"), first.alias("a"), second.alias("b"))
+    def chunk(state: Column, start: Column) -> Column:
+        stop = F.least(start + CHUNK, end)
 
-    return steps.select("_of", F.filter(F.transform("_steps", split), lambda x: (x["a"] > 0) & (x["b"] > 0)).alias("path"))
+        def after(taken: Column) -> Column:
+            count = lambda i: F.size(F.filter(taken, lambda x: x["i"] == i)).cast("long")
+            done = F.transform(state["done"], lambda n, i: n + F.when(F.array_contains(taken["i"], i), count(i)).otherwise(F.lit(0).cast("long")))
+            return F.struct(done.alias("done"), F.concat(state["out"], F.array(taken)).alias("out"))
 
+        blocks = _candidates(state["done"], q, total, start, stop)
+        return _let(blocks, lambda found: _let(_take(found, start, stop), after))
 
-def slot_of(block: Column, path: Column) -> Column:
-    """The slot of a source's block, both from 0."""
+    start = F.struct(F.transform(q, lambda _: F.lit(0).cast("long")).alias("done"), none.alias("out"))
+    run = F.aggregate(F.sequence(F.lit(0).cast("long"), end - 1, F.lit(CHUNK).cast("long")), start, chunk, lambda state: F.flatten(state["out"]))
+    taken = listed.select("s", F.posexplode(run).alias("slot", "x")).select("slot", "x.j", F.get("s", F.col("x.i")).alias("of"))
+    return taken.select(F.col("of.of.source").alias("source"), F.col("of.q").alias("parts"), F.col("j").alias("nth"), "slot")
 
-    def up(at: Column, x: Column) -> Column:
-        twice = _times(2 * at + 1, x["a"] + x["b"])
-        return F.when(x["side"] == 0, _div(twice + 2 * x["a"] - 1, 2 * x["a"]) - 1).otherwise(_div(twice, 2 * x["b"]))
 
-    return F.aggregate(F.reverse(path), block.cast("long"), up)
+def period(shares: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``source, parts, nth, slot``: the slots of one period, for ``parts`` that sum to ``slots``."""
+    return schedule(shares, F.lit(slots))
 
 
-def blocks_before(slot: Column, path: Column) -> Column:
-    """How many of the slots before ``slot`` are the source's."""
+def whole_weights(weights: DataFrame) -> DataFrame:
+    """``source, parts``: weights as integers of about ``WEIGHT_SUM`` in all, at least 1.
+
+    Sources without a positive finite weight are left out; weights of rows with the same source add up.
+    """
+    usable = weights.where((F.col("weight") > 0) & (F.col("weight") < float("inf"))).groupBy("source").agg(F.sum("weight").alias("weight"))
+    whole = usable.agg(F.sum("weight").alias("_sum"))  # a single row
+    share = F.round(F.col("weight") / F.col("_sum") * WEIGHT_SUM)
+    return usable.crossJoin(whole).select("source", F.greatest(F.lit(1), share).cast("long").alias("parts"))
 
-    def down(n: Column, x: Column) -> Column:
-        first = _div(_times(2 * n, x["a"]) + x["a"] + x["b"], 2 * (x["a"] + x["b"]))
-        return F.when(x["side"] == 0, first).otherwise(n - first)
 
-    return F.aggregate(path, slot.cast("long"), down)
+def plan(counts: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, slots: int = MAX_SLOTS) -> tuple[DataFrame, int]:
+    """``source, blocks, nth, slot`` and the rows of a block, for ``counts`` (source, n) and weights.
+
+    Slots end when every source has placed all its blocks once.  A block has ``block_rows`` rows, or as many more as
+    bring the end to within ``slots``.  A source whose weight asks for less than a block in so many slots can't be
+    placed by its deadline; it comes at the end.
+    """
+    known = counts.select(F.struct("source").alias("_of"), "n")
+    parts_ = whole_weights(weights)
+    sized = materialise(parts_.join(known, F.struct("source") == F.col("_of")).select("source", "parts", "n"), "shares")
+    total = sized.agg(F.sum("parts").alias("total"), F.count(F.lit(1)).alias("sources")).first()
+    if not total["sources"]:
+        none = [F.lit(1).cast("long").alias(c) for c in ("blocks", "nth", "slot")]
+        return sized.select("source", *none), block_rows  # no rows
+    if total["sources"] > slots:
+        raise ValueError(f"more sources than slots in a plan: {total['sources']}")
+    needed = sized.agg(F.max(F.col("n") * F.lit(float(total["total"])) / F.col("parts") * F.when(F.col("n") > block_rows, 1))).first()[0] or 0
+    rows = max(block_rows, -int(-needed // slots))
+    blocks = F.ceil(F.col("n") / rows)
+    # Every block of a source is placed by the deadline of its last one.
+    last = F.least(F.lit(slots), F.max(F.ceil(blocks * F.lit(float(total["total"])) / F.col("parts"))) + 1)
+    made = materialise(schedule(sized, last), "plan")
+    sizes = sized.select(F.struct("source").alias("_of"), blocks.alias("blocks"))
+    placed = made.join(sizes, F.struct("source") == F.col("_of")).select("source", "blocks", "nth", F.col("slot").cast("long").alias("slot"))
+    placed = materialise(placed, "placed")
+    counted = placed.groupBy(F.struct("source").alias("_of")).agg(F.max("nth").alias("_last"))
+    late = sized.select("source", blocks.alias("blocks")).join(counted, F.struct("source") == F.col("_of"), "left").withColumn("_next", F.coalesce(F.col("_last") + 1, F.lit(0)))
+    late = late.where("_next < blocks").select("source", "blocks", F.explode(F.sequence("_next", F.col("blocks") - 1, F.lit(STRIDE).cast("long"))).alias("_run"))
+    late = late.select("source", "blocks", F.explode(F.sequence("_run", F.least(F.col("_run") + STRIDE, "blocks") - 1)).alias("nth"))
+    reached = placed.where("nth = blocks - 1").agg(F.max("slot")).first()[0]
+    if late.limit(1).count():
+        reached = placed.agg(F.max("slot")).first()[0]
+        after = F.row_number().over(Window.orderBy("nth", "source")) + F.lit(reached)
+        late = late.withColumn("slot", after.cast("long"))  # fewer than sources and slots
+        return placed.unionByName(late), rows
+    return placed.where(F.col("slot") <= reached), rows
 
 
 def mix(
     docs: DataFrame,
     weights: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
-    slots: int = SLOTS,
+    slots: int = MAX_SLOTS,
     max_epochs: int | None = MAX_EPOCHS,
 ) -> DataFrame:
     """All columns of ``docs`` and ``_epoch, _block, _slot, _position``; sort by ``_position`` for the mixture.
@@ -186,38 +212,27 @@ def mix(
     ``max_epochs`` times (None: as often as their weight asks), so no row is dropped.  Needs doc_id and source; a
     null source is a source of its own; sources without a weight are left out.  Rows of a source come in a
     pseudo-random order that depends on doc_id alone; rows with equal doc_id, or none, are rows of their own.  Columns
-    of ``docs`` may have any names; one that is called like an added column is replaced.  An empty table gives no row.  ``slots`` is without effect: the schedule has no period.
+    of ``docs`` may have any names; one that is called like an added column is replaced.  An empty table gives no row.
+    Blocks have ``block_rows`` rows, or more where the plan would have more than ``slots`` slots.
     """
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     weights = tempered_weights(docs) if weights is None else weights
-    blocks = counts.select(F.struct("source").alias("_counted"), F.ceil(F.col("n") / block_rows).alias("_blocks"))
-    known = materialise(
-        tree_paths(weights).join(blocks, F.col("_of") == F.col("_counted")).select("_of", F.col("path").alias("_path"), "_blocks"), "sources"
-    )
-    last = F.broadcast(known.agg((F.max(slot_of(F.col("_blocks") - 1, F.col("_path"))) + 1).alias("_end")))  # a single row
-    takes = blocks_before(F.col("_end"), F.col("_path"))
+    placed, rows = plan(counts, weights, block_rows, slots)
     if max_epochs is not None:
-        takes = F.least(takes, F.col("_blocks") * max_epochs)
-    limits = materialise(
-        known.crossJoin(last).select(F.col("_of").alias("_source"), "_path", "_blocks", takes.alias("_takes")), "limits"
+        placed = placed.where(F.col("nth") < F.col("blocks") * max_epochs)
+    # A slot of the plan asks for a block of the source's rows, which are gone through again and again.
+    asked = materialise(
+        placed.select(F.struct("source", (F.col("nth") % F.col("blocks")).alias("block")).alias("_asked"), _div(F.col("nth"), F.col("blocks")).alias("_turn"), "nth", "slot"), "slots"
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     ranked = number_within(docs.select(row, F.col("source").alias("of"), F.col("doc_id").alias("id")), ["of"], ["id"], "rank")
-    # As many rows as there are sources, so the table's size decides how it is joined.
-    joined = ranked.join(limits, F.struct(ranked["of"].alias("source")) == F.col("_source"))
-    first = joined.withColumn("first", F.floor(F.col("rank") / block_rows))
-    # A row's blocks in two steps, so that no row holds a list of all its repetitions.
-    stride = F.col("_blocks") * STRIDE
-    runs = first.withColumn("run", F.explode(F.sequence("first", F.col("_takes") - 1, stride)))
-    last = F.least(F.col("_takes") - 1, F.col("run") + stride - F.col("_blocks"))
-    placed = runs.withColumn("block", F.explode(F.sequence("run", last, "_blocks"))).withColumn("slot", slot_of(F.col("block"), F.col("_path")))
+    held = ranked.select("doc", "rank", F.struct(F.col("of").alias("source"), F.floor(F.col("rank") / rows).alias("block")).alias("_held"))
+    # As many slots as the plan has: the tables' sizes decide how they are joined.
+    joined = held.join(asked, F.col("_held") == F.col("_asked"))
     kept = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in PLACE]
-    return placed.select(
-        *kept,
-        F.floor(F.col("block") / F.col("_blocks")).alias("_epoch"),
-        F.col("block").alias("_block"),
-        F.col("slot").alias("_slot"),
-        (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("_position"),
+    return joined.select(
+        *kept, F.col("_turn").alias("_epoch"), F.col("nth").alias("_block"), F.col("slot").alias("_slot"),
+        (F.col("slot") * rows + F.col("rank") % rows).alias("_position"),
     )
 
 
