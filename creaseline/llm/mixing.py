@@ -164,7 +164,7 @@ def whole_weights(weights: DataFrame) -> DataFrame:
 def plan(counts: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, slots: int = MAX_SLOTS) -> tuple[DataFrame, int]:
     """``source, blocks, nth, slot`` and the rows of a block, for ``counts`` (source, n) and weights.
 
-    Slots end when every source has placed all its blocks once.  A block has ``block_rows`` rows, or as many more as
+    Slots end with the deadline by which every source has placed all its blocks once.  A block has ``block_rows`` rows, or as many more as
     bring the end to within ``slots``.  A source whose weight asks for less than a block in so many slots can't be
     placed by its deadline; it comes at the end.
     """
@@ -177,11 +177,14 @@ def plan(counts: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, sl
         return sized.select("source", *none), block_rows  # no rows
     if total["sources"] > slots:
         raise ValueError(f"more sources than slots in a plan: {total['sources']}")
-    needed = sized.agg(F.max(F.col("n") * F.lit(float(total["total"])) / F.col("parts") * F.when(F.col("n") > block_rows, 1))).first()[0] or 0
-    rows = max(block_rows, -int(-needed // slots))
+    # A source has so many slots of the plan; its last block may be a short one, so one slot is spare.
+    own = F.col("parts") / F.lit(float(total["total"])) * slots
+    needed = sized.where(F.col("n") > block_rows).agg(F.max(F.when(own >= 2, F.col("n") / (own - 1)).otherwise(F.col("n")))).first()[0]
+    rows = max(block_rows, -int(-(needed or 0) // 1))
     blocks = F.ceil(F.col("n") / rows)
-    # Every block of a source is placed by the deadline of its last one.
-    last = F.least(F.lit(slots), F.max(F.ceil(blocks * F.lit(float(total["total"])) / F.col("parts"))) + 1)
+    # A hair less, since weights are rounded; a block that misses by it comes at the end.
+    deadline = F.ceil(blocks * F.lit(float(total["total"])) / F.col("parts") * (1 - 1e-9))
+    last = F.least(F.lit(slots), F.max(deadline))
     made = materialise(schedule(sized, last), "plan")
     sizes = sized.select(F.struct("source").alias("_of"), blocks.alias("blocks"))
     placed = made.join(sizes, F.struct("source") == F.col("_of")).select("source", "blocks", "nth", F.col("slot").cast("long").alias("slot"))
@@ -190,13 +193,11 @@ def plan(counts: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROWS, sl
     late = sized.select("source", blocks.alias("blocks")).join(counted, F.struct("source") == F.col("_of"), "left").withColumn("_next", F.coalesce(F.col("_last") + 1, F.lit(0)))
     late = late.where("_next < blocks").select("source", "blocks", F.explode(F.sequence("_next", F.col("blocks") - 1, F.lit(STRIDE).cast("long"))).alias("_run"))
     late = late.select("source", "blocks", F.explode(F.sequence("_run", F.least(F.col("_run") + STRIDE, "blocks") - 1)).alias("nth"))
-    reached = placed.where("nth = blocks - 1").agg(F.max("slot")).first()[0]
-    if late.limit(1).count():
-        reached = placed.agg(F.max("slot")).first()[0]
-        after = F.row_number().over(Window.orderBy("nth", "source")) + F.lit(reached)
-        late = late.withColumn("slot", after.cast("long"))  # fewer than sources and slots
-        return placed.unionByName(late), rows
-    return placed.where(F.col("slot") <= reached), rows
+    if not late.limit(1).count():
+        return placed, rows
+    end = placed.agg(F.max("slot")).first()[0]
+    after = F.row_number().over(Window.orderBy("nth", "source")) + F.lit(end)  # fewer than sources and slots
+    return placed.unionByName(late.withColumn("slot", after.cast("long"))), rows
 
 
 def mix(
@@ -208,7 +209,7 @@ def mix(
 ) -> DataFrame:
     """All columns of ``docs`` and ``_epoch, _block, _slot, _position``; sort by ``_position`` for the mixture.
 
-    The mixture ends when every row was placed once; until then sources that ran out are repeated, up to
+    The mixture ends with the deadline by which every row was placed once; until then sources that ran out are repeated, up to
     ``max_epochs`` times (None: as often as their weight asks), so no row is dropped.  Needs doc_id and source; a
     null source is a source of its own; sources without a weight are left out.  Rows of a source come in a
     pseudo-random order that depends on doc_id alone; rows with equal doc_id, or none, are rows of their own.  Columns
