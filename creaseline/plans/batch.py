@@ -177,7 +177,7 @@ def refresh(
         held = spark.createDataFrame([], "match_id string, source_sha256 string")
     # Written down first: the tables that decide what is pending are replaced below.
     path = f"{root}/ops/pending-{uuid.uuid4().hex}"
-    landing.pending(manifest, held).select("match_id", "sha256").write.parquet(path)
+    landing.pending(manifest, held).select("match_id", "sha256", "ingested_at").write.parquet(path)
     waiting = spark.read.parquet(path)
     documents = landing.landed_documents(spark, bronze, waiting)
     return build(spark, documents, venues, teams, adjustments, root, waiting.select("match_id") if known else None, stop_on_error)

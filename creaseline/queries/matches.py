@@ -13,6 +13,7 @@ from creaseline.functions import rules
 from creaseline.operators.keyed import reconcile
 from creaseline.plans import batch, marts, quality, serve, silver
 from creaseline.queries.flat import flat
+from creaseline.sources import colocated
 from creaseline.sources.scratch import scratch_path
 from creaseline.streaming import events as ev
 
@@ -198,6 +199,24 @@ def _check(name: str) -> Callable[[Data], DataFrame]:
     return run
 
 
+def _colocated(d: Data) -> dict[str, DataFrame]:
+    """Balls, wickets and line-ups stored in buckets of their match, as read back."""
+    root, found = scratch_path(d.spark, "colocated"), {}
+    for name, frame in {"deliveries": d.balls.drop("_wickets"), "wickets": d.wickets, "match_players": d.players}.items():
+        colocated.store(frame, f"{root}/{name}", "match_id", 8)
+        found[name] = colocated.load(d.spark, f"{root}/{name}")
+    return found
+
+
+def _colocated_scorecards(d: Data) -> DataFrame:
+    """Batting scorecards from stored tables in buckets of their match: joins and aggregates move nothing, so the sums are written where they are."""
+    cards = marts.scorecards(_colocated(d))["batting_scorecard"]
+    path = scratch_path(d.spark, "scorecards")
+    with colocated.by_part_of_keys(d.spark):
+        cards.write.parquet(path)
+    return flat(d.spark.read.schema(cards.schema).parquet(path), *K, "batter", "batting_position", "runs", "balls", "fours", "sixes", "dots", "dismissal_kind", "is_out", "player_id")
+
+
 def _people(d: Data) -> DataFrame:
     seen = silver.people(d.players.select("player_id").where("player_id is not null").distinct(), d.players.where("lineup_order < 3"), d.wickets)
     return flat(seen)
@@ -240,6 +259,7 @@ _BUILT: dict[str, Callable[[Data], DataFrame]] = {
     "match_summary_all": lambda d: flat(d.summary),
     "batting_scorecard": lambda d: flat(d.batting, *K, "batter", "batting_position", "runs", "balls", "fours", "sixes", "dots", "dismissal_kind", "dismissal_bowler",
                                         "dismissal_fielders", "is_out", "fall_of_wicket_number", "fall_of_wicket_score", "fall_of_wicket_ball", "strike_rate", "player_id"),
+    "colocated_scorecards": _colocated_scorecards,
     "bowling_scorecard": lambda d: flat(d.bowling, *K, "bowler", "bowling_order", "balls", "runs_conceded", "wickets", "dots", "maidens", "wides", "noballs", "overs", "economy", "player_id"),
     "appearances": lambda d: flat(marts.appearances(d.players)),
     "season_batting": lambda d: flat(d.season_batting, *SUMS, "runs", "balls", "outs", "fifties", "hundreds", "ducks", "highest_score_text", "average", "strike_rate"),

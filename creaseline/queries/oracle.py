@@ -175,6 +175,7 @@ _SELECT = {
         FROM sm JOIN mt ON sm.match_id = mt.match_id""",
     "batting_scorecard": f"""SELECT {_K}, batter, batting_position, runs, balls, fours, sixes, dots, dismissal_kind, dismissal_bowler, dismissal_fielders, is_out, fall_of_wicket_number, fall_of_wicket_score,
         fall_of_wicket_ball, strike_rate, player_id FROM bt""",
+    "colocated_scorecards": f"SELECT {_K}, batter, batting_position, runs, balls, fours, sixes, dots, dismissal_kind, is_out, player_id FROM bt",
     "bowling_scorecard": f"SELECT {_K}, bowler, bowling_order, balls, runs_conceded, wickets, dots, maidens, wides, noballs, overs, economy, player_id FROM bw",
     "appearances": "SELECT * FROM ap",
     "season_batting": "SELECT season, player_id, player_name, teams, innings, matches, runs, balls, outs, fifties, hundreds, ducks, highest_score_text, average, strike_rate FROM sbx",

@@ -307,6 +307,35 @@ def dq_audit(spark, sf_dir):
     return flat(results, "check", "table", "severity", "description", "passed", "violations", "sample")
 
 
+def _halves(spark, sf_dir):
+    """All orders: two in three are held, and two in three come, so each is on a side or on both."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus")
+    return orders.where("o_orderkey % 3 <> 2"), orders.where("o_orderkey % 3 <> 1").withColumn("o_orderstatus", F.lit("S"))
+
+
+def merge_insert_only_all(spark, sf_dir):
+    return flat(keyed.merge_insert_only(*_halves(spark, sf_dir), ["o_orderkey"]))
+
+
+def merge_coalesce_all(spark, sf_dir):
+    """All customers: names of every other one and segments of the others are unknown to the table, the news know some of both."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").alias("version"))
+    even = F.col("c_custkey") % 2 == 0
+    target = c.where("c_custkey % 3 <> 2").withColumn("c_name", F.when(even, F.col("c_name"))).withColumn("c_mktsegment", F.when(~even, F.col("c_mktsegment")))
+    source = c.where("c_custkey % 3 <> 1").withColumn("c_name", F.when(F.col("c_custkey") % 5 != 0, F.lower("c_name"))).withColumn("version", F.lit(12))
+    return flat(keyed.merge_coalesce(target, source, "c_custkey", "version"))
+
+
+def people_register(spark, sf_dir):
+    """A register of all parts and suppliers against who is seen in lines, as players and as those out: the register's rows that are seen."""
+    lines = table(spark, sf_dir, "lineitem")
+    register = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("player_id"), F.col("p_name").alias("name")).unionByName(
+        table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("player_id"), F.col("s_name").alias("name")))
+    players = lines.where("l_returnflag = 'R'").select(F.concat(F.lit("p"), "l_partkey").alias("player_id"))
+    out = lines.where("l_quantity > 45").select(F.concat(F.lit("s"), "l_suppkey").alias("player_out_id"))
+    return flat(silver.people(register, players, out), "player_id", "name")
+
+
 def adhoc_sql(spark, sf_dir):
     tables.views(spark, {n: table(spark, sf_dir, n) for n in ("orders", "customer")})
     return flat(spark.sql("""SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
@@ -318,7 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_per_key, dedupe_first, pending_versions, replace_for_ids, merge_insert_only, merge_upsert, merge_coalesce, first_appearance_order, partition_count, landing_classify,
         landing_lineage, landing_problems, dq_unique_key, dq_orphans, dq_parent_reconcile_orders, live_board, latest_run_rows, activity_windows, feed_activity, dlq_by_reason,
-        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, sink_batch_replay, sink_two_apps, stream_commits, in_ranges_table, range_join, dq_audit, merge_all, adhoc_sql,
+        stream_reject_reasons, stream_scorecard, stream_activity, sink_replace_ids, sink_append_batches, sink_append_all, sink_batch_replay, sink_two_apps, stream_commits, in_ranges_table, range_join, dq_audit, merge_all,
+        merge_insert_only_all, merge_coalesce_all, people_register, adhoc_sql,
     )
 }
 
@@ -377,6 +407,12 @@ ORACLE_SQL = {
         found AS (SELECT "check", any_value(n) AS n, '[' || string_agg(t, ', ' ORDER BY t) || ']' AS sample FROM few GROUP BY "check")
         SELECT c."check", 'lines' AS "table", severity, description, n IS NULL AS passed, coalesce(n, 0) AS violations, coalesce(sample, '[]') AS sample
         FROM (VALUES ('at_most_49', 'warn', 'fewer than fifty of a part'), ('some', 'error', ''), ('one_line_a_supplier', 'error', '')) c("check", severity, description) LEFT JOIN found f ON f."check" = c."check" """,
+    "merge_insert_only_all": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'S' ELSE o_orderstatus END AS o_orderstatus FROM orders",
+    "merge_coalesce_all": """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 1 AND c_custkey % 5 <> 0 THEN lower(c_name) WHEN c_custkey % 3 <> 2 AND c_custkey % 2 = 0 THEN c_name END AS c_name,
+        CASE WHEN c_custkey % 3 <> 1 OR c_custkey % 2 <> 0 THEN c_mktsegment END AS c_mktsegment,
+        CASE c_custkey % 3 WHEN 1 THEN c_nationkey WHEN 2 THEN 12 ELSE greatest(12, c_nationkey) END AS version FROM customer""",
+    "people_register": """SELECT * FROM (SELECT 'p' || p_partkey AS player_id, p_name AS name FROM part UNION ALL SELECT 's' || s_suppkey, s_name FROM supplier)
+        WHERE player_id IN (SELECT 'p' || l_partkey FROM lineitem WHERE l_returnflag = 'R' UNION SELECT 's' || l_suppkey FROM lineitem WHERE l_quantity > 45)""",
     "merge_all": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE lower(c_mktsegment) END AS c_mktsegment FROM customer",
     "adhoc_sql": """SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY c_mktsegment""",

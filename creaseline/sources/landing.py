@@ -71,19 +71,33 @@ def land(spark: SparkSession, folder: str, manifest: DataFrame, bronze: str, run
 
 
 def landed_documents(spark: SparkSession, bronze: str, wanted: DataFrame) -> DataFrame:
-    """Documents of the wanted (match_id, sha256) versions; a value that breaks the schema stops the job."""
-    rows = spark.read.parquet(f"{bronze}/matches").select("match_id", "sha256", "value").join(wanted.select("match_id", "sha256"), ["match_id", "sha256"], "left_semi").dropDuplicates(["match_id", "sha256"])
+    """Documents of the wanted (match_id, sha256) versions, with their ``ingested_at`` as source_ingested_at if ``wanted`` has it.
+
+    A value that breaks the schema stops the job.
+    """
+    version = ["match_id", "sha256"]
+    times = [F.min("ingested_at").alias("source_ingested_at")] if "ingested_at" in wanted.columns else []
+    once = wanted.groupBy(*version).agg(*times) if times else wanted.select(*version).distinct()
+    rows = spark.read.parquet(f"{bronze}/matches").select(*version, "value").join(once, version).dropDuplicates(version)
     doc = F.from_json("value", schemas.MATCH, {"mode": "FAILFAST"})
-    return rows.select("match_id", F.col("sha256").alias("source_sha256"), doc.alias("d")).select("match_id", "source_sha256", "d.*")
+    kept = ["source_ingested_at"] if times else []
+    return rows.select("match_id", F.col("sha256").alias("source_sha256"), *kept, doc.alias("d")).select("match_id", "source_sha256", *kept, "d.*")
 
 
-def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Documents from ``match_id=<digits>/<64 hex>.json`` files with the declared schema; drift stops the job."""
+def read_documents(spark: SparkSession, paths: str | list[str], manifest: DataFrame | None = None) -> DataFrame:
+    """Documents from ``match_id=<digits>/<64 hex>.json`` files with the declared schema; drift stops the job.
+
+    With a manifest each version has the time at which it was ingested as source_ingested_at, null for unknown ones.
+    """
     path = F.col("_metadata.file_path")
-    return (
+    found = (
         spark.read.schema(schemas.MATCH).option("multiLine", True).option("mode", "FAILFAST").json(paths)
         .withColumn("match_id", F.regexp_extract(path, r"match_id=(\d+)/", 1)).withColumn("source_sha256", F.regexp_extract(path, r"([0-9a-f]{64})\.json$", 1))
     )
+    if manifest is None:
+        return found
+    times = manifest.groupBy("match_id", F.col("sha256").alias("source_sha256")).agg(F.min("ingested_at").alias("source_ingested_at"))
+    return found.join(times, ["match_id", "source_sha256"], "left")
 
 
 def read_register(spark: SparkSession, path: str, schema: str) -> DataFrame:
