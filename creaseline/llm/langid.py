@@ -195,13 +195,16 @@ def fit(docs: DataFrame) -> Model:
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True))
         & (F.octet_length("text") <= TRAIN_BYTES)
     ).select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.xxhash64("doc_id").alias("mix"))
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    low = F.shiftrightunsigned("mix", 11)  # the order in which :func:`in_sample` takes rows
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min(low).alias("first"))
     # Written, so that its size is known and Spark broadcasts it if it is small: a corpus may have any number of names.
     sizes = materialise(sizes, "languages")
     each = TRAIN_TOTAL_BYTES / max(1, sizes.count())
     wanted = F.least(F.lit(float(ROWS_PER_LANGUAGE)), F.lit(each) * F.col("n") / F.greatest("bytes", F.lit(1)))
-    shares = sizes.select(F.col("lang").alias("_of"), "n", wanted.alias("wanted"))
-    sample = usable.join(shares, F.col("lang") == F.col("_of")).where(in_sample(F.col("mix"), F.col("wanted"), F.col("n")))
+    shares = sizes.select(F.col("lang").alias("_of"), "n", wanted.alias("wanted"), "first")
+    # The first row of each language always, however many languages share the bytes.
+    taken = in_sample(F.col("mix"), F.col("wanted"), F.col("n")) | (low == F.col("first"))
+    sample = usable.join(shares, F.col("lang") == F.col("_of")).where(taken)
     sample = sample.select("mix", "doc_id", "text", "lang").repartition(1)
     rows = sample.mapInArrow(_train_batches, "model binary").collect()
     return Model(**pickle.loads(rows[0]["model"])) if rows else train([], [])

@@ -71,7 +71,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def close_pairs(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``a, b`` (a < b): all pairs of distinct fingerprints within ``max_bits``, for up to three bits."""
+    """``a, b`` (a < b): all pairs of distinct fingerprints within ``max_bits``, which is at most three: more would escape the blocks."""
+    if max_bits > MAX_BITS:
+        raise ValueError(f"blocks find pairs of up to {MAX_BITS} bits, not {max_bits}")
     starts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
 
     def block(i: int):
