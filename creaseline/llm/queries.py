@@ -44,7 +44,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.count_document_tokens(read(spark, sf_dir, "documents"))
     return counted.select(
-        F.regexp_extract("file", r"part-(\d+)-[^/]*-c(\d+)", 1).cast("int").alias("file"),
+        "doc_id", F.regexp_extract("file", r"part-(\d+)-[^/]*-c(\d+)", 1).cast("int").alias("file"),
         F.regexp_extract("file", r"part-(\d+)-[^/]*-c(\d+)", 2).cast("int").alias("chunk"),
         "ordinal", "n_tokens", "closed",
     )
