@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from creaseline.llm.common import materialise, number_within, partitions
 from creaseline.llm.components import connected_components
@@ -214,7 +215,10 @@ def near_duplicate_vectors(
     no row.
     """
     hashed = _hash_vectors(vectors.count(), hashing)
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # A vector moves once per bucket, so single-precision components move as they are and become doubles in the group.
+    given = vectors.schema["embedding"].dataType
+    components = given if given == ArrayType(FloatType()) or given == ArrayType(FloatType(), False) else ArrayType(DoubleType())
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(components).alias("embedding"))
     rows = materialise(
         rows.withColumn("_h", hashed("embedding")).select("vec_id", "embedding", "_h.class", "_h.keys"), "vectors"
     )
