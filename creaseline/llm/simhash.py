@@ -3,16 +3,18 @@
 A text's fingerprint has 64 bits; texts link when their fingerprints differ in at most three.  The fingerprint is
 split into five blocks; three differing bits leave two blocks intact, so linked fingerprints agree on one of the
 ten pairs of blocks (25 or 26 bits).  Distinct fingerprints are joined on each pair of blocks and candidates are
-verified by their Hamming distance.  Copies share a fingerprint and are one row of that join.
+verified by their Hamming distance.  Copies share a fingerprint and are one row of that join.  From some billions of
+fingerprints on there are six or seven blocks, of which three or four stay intact: more keys, of more bits each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creaseline.llm.common import materialise, pieces
@@ -23,8 +25,10 @@ SEED = 42
 MAX_BITS = 3
 #: Bytes of a text that are looked at together.
 PART = 1 << 17
-#: Widths of the blocks of a fingerprint, from its low end.
-BLOCKS = (13, 13, 13, 13, 12)
+#: A fingerprint has at least so many blocks, and at most; see :func:`blocks_for`.
+LEAST_BLOCKS, MOST_BLOCKS = 5, 7
+#: So many unrelated fingerprints may share a key: comparing these costs about what one more key to shuffle does.
+KEY_ROWS = 100
 
 
 def text_fingerprint(text: bytes | None, words_per_shingle: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -70,21 +74,36 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), fingerprint("text").alias("fingerprint"))
 
 
-def close_pairs(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def widths(blocks: int) -> list[int]:
+    """Widths of the blocks of a fingerprint, from its low end; they differ by one bit at most."""
+    return [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+
+
+def blocks_for(rows: int) -> int:
+    """Blocks for a number of distinct fingerprints: the fewest that leave about ``KEY_ROWS`` unrelated ones to a key.
+
+    Every choice finds all pairs; they differ in cost alone.
+    """
+    for blocks in range(LEAST_BLOCKS, MOST_BLOCKS):
+        if rows <= KEY_ROWS << sum(sorted(widths(blocks))[: blocks - MAX_BITS]):
+            return blocks
+    return MOST_BLOCKS
+
+
+def close_pairs(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = LEAST_BLOCKS) -> DataFrame:
     """``a, b`` (a < b): all pairs of distinct fingerprints within ``max_bits``, which is at most three: more would escape the blocks."""
     if max_bits > MAX_BITS:
         raise ValueError(f"blocks find pairs of up to {MAX_BITS} bits, not {max_bits}")
-    starts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
+    sizes = widths(blocks)
 
-    def block(i: int):
-        return F.shiftrightunsigned("fingerprint", starts[i]).bitwiseAND(F.lit((1 << BLOCKS[i]) - 1))
+    def block(i: int) -> Column:
+        return F.shiftrightunsigned("fingerprint", sum(sizes[:i])).bitwiseAND(F.lit((1 << sizes[i]) - 1))
 
-    keys = F.array(
-        *[
-            F.shiftleft(F.lit(n).cast("long"), 32).bitwiseOR(F.shiftleft(block(i), 16)).bitwiseOR(block(j))
-            for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))
-        ]
-    )
+    def key(number: int, intact: tuple[int, ...]) -> Column:
+        start = F.lit(number).cast("long")
+        return reduce(lambda value, i: F.shiftleft(value, sizes[i]).bitwiseOR(block(i)), intact, start)
+
+    keys = F.array(*[key(n, intact) for n, intact in enumerate(combinations(range(blocks), blocks - MAX_BITS))])
     keyed = distinct.select(F.explode(keys).alias("key"), "fingerprint")
     left = keyed.withColumnRenamed("fingerprint", "a")
     right = keyed.withColumnRenamed("fingerprint", "b").withColumnRenamed("key", "other")
@@ -98,11 +117,12 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     component_id is the least doc_id reachable over links of at most ``max_bits`` differing bits.  Needs doc_id
     and text; other columns are ignored; null, empty and wordless texts have fingerprint 0 and link like others.
     Rows with a null doc_id link like others and name no component unless a group has no other id (then null).
-    Repeated rows stay; equal ids are one member.  An empty table gives no row.
+    Repeated rows stay; equal ids are one member.  An empty table gives no row.  The number of distinct fingerprints
+    sets the blocks of the search, which finds the same pairs with any.
     """
     marked = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "classes")
-    pairs = close_pairs(classes.select("fingerprint"), max_bits)
+    pairs = close_pairs(classes.select("fingerprint"), max_bits, blocks_for(classes.count()))
     groups = connected_components(pairs)
     linked = classes.join(groups, classes["fingerprint"] == groups["id"])
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
