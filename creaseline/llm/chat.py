@@ -133,6 +133,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     conversation of its own, an empty table gives no row.  ``loss`` lists spans of ``formatted`` in code points,
     one per assistant turn.  A conversation is cut into parts only where an Arrow batch ends, so that none needs
     to fit in memory; joining ``formatted`` by part gives the whole.  Parts follow each other within a partition.
+    A single text of any length is formatted whole and is never cut.
     """
     narrow = turns.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role"), F.col("text")

@@ -211,8 +211,8 @@ def near_duplicate_vectors(
     cosine is at least ``min_cosine``, as far as hashing finds them; equal vectors always link.  Vectors that are
     null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths don't
     link.  component_id is the least vec_id reachable.  A null vec_id links like others but names a component only if
-    no other id is in it (then null, and kept).  Repeated rows are rows of their own that link.  An empty table gives
-    no row.
+    no other id is in it (then null, and kept).  Repeated rows are rows of their own that link.  A cosine of exactly
+    ``min_cosine`` links; rows with equal vec_id that name a component are all kept.  An empty table gives no row.
     """
     hashed = _hash_vectors(vectors.count(), hashing)
     # A vector moves once per bucket, so single-precision components move as they are and become doubles in the group.

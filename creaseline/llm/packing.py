@@ -273,6 +273,10 @@ def packed_documents(
 
     Texts are tokenised once; the narrow piece table is written to the shared folder and the ids, which only
     :func:`tokenise` returns in full, are reduced to their checksum before any shuffle.
+
+    Needs doc_id and text; other columns are ignored.  A null or empty text is the separator alone.  Repeated rows and
+    those with a null doc_id are documents of their own.  Which of the pieces of one length takes which place is of no
+    account.  Texts of any length are encoded in parts; an empty table gives no row.
     """
     pieces = tokenise(docs, capacity, separator, match_added).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")

@@ -154,7 +154,7 @@ def assess(docs: DataFrame, candidates: list[Rule] | None = None) -> DataFrame:
 
     Needs doc_id and text; other columns are ignored.  A null text has no words and fails the base.  kept is false
     if the base failed or a rule rejects; rejected_by is ``base`` or the rule.  Repeated rows and a null doc_id stay.
-    An empty table gives no row.
+    A text of any length becomes one array of words in its row.  An empty table gives no row.
     """
     candidates = rules() if candidates is None else candidates
     narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))

@@ -69,7 +69,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     size is the UTF-8 length of the text plus 1; a null text has length 0, checksum 0 and is in one group with the
     other null texts.  Equal texts share a shard.  slot counts from 0 within a shard.  The law is ``bytes``: sizes
     near equal, as far as the largest group allows; so grown_shard is null.  Needs doc_id and text; other columns
-    are ignored.  An empty table gives no row.
+    are ignored.  Repeated rows, and those with equal or null doc_id, have slots of their own, in any order among
+    themselves.  Texts of any length move as their size and hashes only.  An empty table gives no row.
     """
     text = F.col("text").cast("binary")
     sized = docs.select(
