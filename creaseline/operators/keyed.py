@@ -8,6 +8,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Inputs above this have no known size.
+UNKNOWN = 2**50
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of what a frame reads, by Spark's statistics of its sources; None where a source has none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < UNKNOWN else None
+
+
+def usual_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def parts_for(df: DataFrame, part_bytes: int, least: int) -> int:
+    """Into how many parts a frame goes if a part stands for so many bytes of input."""
+    return max(least, -(-(input_bytes(df) or 0) // part_bytes))
+
+
+def in_parts(df: DataFrame, key: str, part_bytes: int) -> DataFrame:
+    """Rows of a key in one part, of which there are more as the input grows, so that a task stays as large as it is.
+
+    Windows, groups and explodes by the key, or by it and more, then move nothing.
+    """
+    usual = usual_parts(df)
+    parts = parts_for(df, part_bytes, usual)
+    # Spark may put parts of the usual number together where they are small.
+    return df.repartition(parts, key) if parts > usual else df.repartition(key)
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``."""
