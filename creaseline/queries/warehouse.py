@@ -289,9 +289,8 @@ def in_ranges_table(spark, sf_dir):
 
 def range_join(spark, sf_dir):
     """Windows with the events that fall into them: how many, and the first and last."""
-    pairs = ranges.range_pairs(_instants(spark, sf_dir), _windows(spark, sf_dir), "ts", "low", "high", ["kind"])
-    found = pairs.groupBy(F.col("range.c_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("events"), F.min("point.event_id").alias("least_id"), F.max("point.event_id").alias("largest_id"))
+    found = ranges.range_extremes(_instants(spark, sf_dir), _windows(spark, sf_dir), "ts", "low", "high", ["c_custkey"], "event_id", ["kind"])
+    found = found.select("c_custkey", F.col("n").alias("events"), F.col("least").alias("least_id"), F.col("largest").alias("largest_id"))
     return flat(found)
 
 
