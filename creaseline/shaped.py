@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from creaseline.operators.keyed import in_parts
+
+#: Bytes of lineitem and of document files that make a part, some 300,000 balls each.
+LINE_BYTES, DOCUMENT_BYTES = 4 << 20, 2 << 20
 # Fixed values of the shape.
 KINDS = ("bowled", "caught", "caught and bowled", "lbw", "stumped", "hit wicket", "run out", "retired hurt", "obstructing the field")
 #: All columns of lineitem: the only total order, since no smaller key is unique.
@@ -20,16 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balls with their match, innings and place; a match in fifty has overs of seven balls, and super overs occur."""
+    """Balls with their match, innings and place; a match in fifty has overs of seven balls, and super overs occur.
+
+    Lines move once, as they are, to their match; nothing that is built from them moves again.
+    """
     match = "l_orderkey div 40"
-    raw = table(spark, sf_dir, "lineitem").selectExpr(
-        f"{match} as m", "l_partkey as pk", "l_suppkey as sk", "cast(l_quantity as bigint) as q", "l_returnflag as rf",
+    raw = in_parts(table(spark, sf_dir, "lineitem").withColumn("match_id", F.expr(f"cast({match} as string)")), "match_id", LINE_BYTES).selectExpr(
+        "match_id", f"{match} as m", "l_partkey as pk", "l_suppkey as sk", "cast(l_quantity as bigint) as q", "l_returnflag as rf",
         f"case when ({match}) % 37 = 5 and l_linenumber = 7 then 3 else 1 + (l_orderkey div 20) % 2 end as inn", *LINE_ORDER,
     )
-    place = F.row_number().over(Window.partitionBy("m", "inn").orderBy(*LINE_ORDER)) - 1
+    place = F.row_number().over(Window.partitionBy("match_id", "inn").orderBy(*LINE_ORDER)) - 1
     size = F.when(F.col("m") % 50 == 7, 7).otherwise(6)
     return raw.withColumn("at", place).select(
-        "m", "inn", "pk", "sk", "q", "rf", F.floor(F.col("at") / size).alias("over"), (F.col("at") % size + 1).alias("seq"),
+        "match_id", "m", "inn", "pk", "sk", "q", "rf", F.floor(F.col("at") / size).alias("over"), (F.col("at") % size + 1).alias("seq"),
         F.concat(F.lit("T"), F.expr("m % 8")).alias("t1"),
         F.concat(F.lit("T"), F.expr("case when (m * 3 + 1) % 8 = m % 8 then (m * 3 + 2) % 8 else (m * 3 + 1) % 8 end")).alias("t2"),
     )
@@ -62,21 +69,21 @@ def _balls(rows: DataFrame) -> DataFrame:
       'review', if(pk % 97 = 0, named_struct('by', bowl, 'umpire', 'U1', 'batter', striker, 'decision', if(sk % 2 = 0, 'struck down', 'upheld'), 'umpires_call', sk % 4 = 0, 'type', 'wicket'), null),
       'replacements', if(pk % 211 = 0, named_struct('match', array(named_struct('in', concat(bat, '-b10'), 'out', striker, 'team', bat,
         'reason', if(sk % 2 = 0, 'impact_player', 'concussion_substitute'))), 'role', cast(null as array<struct<`in`:string,`out`:string,reason:string,role:string>>)), null))"""
-    return named.selectExpr("m", "inn", "over", "seq", "t1", "t2", "bat", "hit + extra as total", "pk % 13 = 0 and kind <> 'retired hurt' as w1", "pk % 169 = 0 as w2", f"{ball} as d")
+    return named.selectExpr("match_id", "m", "inn", "over", "seq", "t1", "t2", "bat", "hit + extra as total", "pk % 13 = 0 and kind <> 'retired hurt' as w1", "pk % 169 = 0 as w2", f"{ball} as d")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per match, with ``match_id``; balls, overs and innings are nested in their order."""
-    overs = _balls(lines(spark, sf_dir)).groupBy("m", "inn", "over", "t1", "t2", "bat").agg(
+    overs = _balls(lines(spark, sf_dir)).groupBy("match_id", "m", "inn", "over", "t1", "t2", "bat").agg(
         F.sum("total").alias("total"), F.sum(F.col("w1").cast("int") + F.col("w2").cast("int")).alias("out"),
         F.sort_array(F.collect_list(F.struct("seq", "d"))).alias("ds"),
     )
-    by_innings = overs.groupBy("m", "inn", "t1", "t2", "bat").agg(
+    by_innings = overs.groupBy("match_id", "m", "inn", "t1", "t2", "bat").agg(
         F.sum("total").alias("total"), F.sum("out").alias("out"),
         F.sort_array(F.collect_list(F.struct(F.col("over").alias("over"), F.col("ds.d").alias("deliveries")))).alias("overs"),
     )
     penalty = "if(m % 53 = 0 and inn = 1, 5, 0)"
-    by_match = by_innings.withColumn("total", F.expr(f"total + {penalty}")).groupBy("m", "t1", "t2").agg(
+    by_match = by_innings.withColumn("total", F.expr(f"total + {penalty}")).groupBy("match_id", "m", "t1", "t2").agg(
         F.sort_array(F.collect_list(F.struct("inn", "bat", "total", "out", "overs"))).alias("i"),
         F.max(F.expr("if(inn = 1, total, null)")).alias("r1"), F.max(F.expr("if(inn = 2, total, null)")).alias("r2"), F.max(F.expr("if(inn = 2, out, null)")).alias("w2"),
     )
@@ -104,7 +111,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
       'season', cast(1995 + m % 7 as string), 'team_type', 'club', 'teams', array(t1, t2),
       'toss', named_struct('decision', if(m % 2 = 0, 'field', 'bat'), 'winner', if(m % 3 < 2, t1, t2)), 'venue', concat('ground-', m % 25))"""
     meta = "named_struct('data_version', '1.0.0', 'created', '2024-01-01', 'revision', 1L)"
-    return by_match.selectExpr("cast(m as string) as match_id", f"{meta} as meta", f"{info} as info", f"{innings} as innings")
+    return by_match.selectExpr("match_id", f"{meta} as meta", f"{info} as info", f"{innings} as innings")
 
 
 def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
