@@ -8,6 +8,7 @@ from creaseline.operators import keyed
 from creaseline.plans import silver
 from creaseline.queries import matches
 from creaseline.streaming import events as ev
+from creaseline.streaming import live
 
 
 def plan(frame):
@@ -56,3 +57,9 @@ def test_buckets_follow_the_documents(data, monkeypatch):
     monkeypatch.setattr(shaped, "DOCUMENT_BYTES", 1_000)
     found = matches._colocated(data)["deliveries"]
     assert len(found.inputFiles()) > 8  # a file a bucket
+
+
+def test_scores_read_no_raw_text(spark, tmp_path):
+    live.ensure_tables(spark, str(tmp_path))
+    assert set(live.events_stream(spark, str(tmp_path), live.SCORED).columns) == set(live.SCORED)
+    assert not live.KEPT.useMemory
