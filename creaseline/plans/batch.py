@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creaseline.plans import marts, quality, silver
-from creaseline.sources import landing, tables
+from creaseline.sources import colocated, landing, tables
 
 #: Tables that are split by season; the others are small.
 BY_SEASON = {
@@ -58,21 +58,22 @@ def release(
 
 def write_silver(
     spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, root: str, changed: DataFrame | None = None, run_id: str = "",
-    stop_on_error: bool = True,
+    stop_on_error: bool = True, parts: int | None = None,
 ) -> None:
     """Writes, audits and publishes the conformed tables; with ``changed`` (match_id) only rows of those matches are replaced.
 
     Matches come last: a run that breaks off leaves them pending, and the next run does them again.  The files of balls
-    hold their wickets as well, so that wickets and innings read balls back instead of computing them again.
+    hold their wickets as well, so that wickets and innings read balls back instead of computing them again.  Documents
+    move to ranges of season and match (``parts`` of them), and their balls are written there.
     """
 
-    def put(name: str, frame: DataFrame, hidden: tuple[str, ...] = ()) -> tables.Staged:
+    def put(name: str, frame: DataFrame, hidden: tuple[str, ...] = (), spread: bool = True) -> tables.Staged:
         path, counts = f"{root}/silver/{name}", quality.counting(quality.CONFORMED, name)
         if changed is None:
-            return tables.stage_overwrite(frame, path, split(name), counts, hidden)
+            return tables.stage_overwrite(frame, path, split(name), counts, hidden, spread)
         return tables.stage_replace_ids(spark, frame, changed, path, "match_id", split(name), counts, hidden)
 
-    staged = {"deliveries": put("deliveries", silver.deliveries(documents), ("_wickets",))}
+    staged = {"deliveries": put("deliveries", silver.deliveries(silver.in_seasons(documents, parts)), ("_wickets",), spread=False)}
     ball = tables.written_rows(staged["deliveries"])
     if changed is not None:
         ball = ball.join(changed, "match_id", "left_semi")
@@ -141,7 +142,8 @@ def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame,
             return tables.stage_overwrite(frame, path, split(name), counts)
         return tables.stage_replace_partitions(spark, frame, seasons, path, split(name), counts)
 
-    staged = {name: put(name, frame) for name, frame in marts.scorecards(narrowed).items()}
+    with colocated.by_part_of_keys(spark):
+        staged = {name: put(name, frame) for name, frame in marts.scorecards(narrowed, gathered=True).items()}
     cards = {name: tables.written_rows(s) for name, s in staged.items()}
     staged |= {name: put(name, frame) for name, frame in marts.by_season(narrowed, cards, adjustments).items()}
     staged |= {name: put(name, fold(tables.staged_rows(staged[source]))) for name, (source, fold) in marts.FOLDS.items()}
@@ -156,12 +158,15 @@ def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame,
 
 def build(
     spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, adjustments: DataFrame, root: str,
-    changed: DataFrame | None = None, stop_on_error: bool = True,
+    changed: DataFrame | None = None, stop_on_error: bool = True, parts: int | None = None,
 ) -> Tables:
-    """Everything below ``root``; returns the stored tables of both layers.  Marts are built from stored tables."""
+    """Everything below ``root``; returns the stored tables of both layers.  Marts are built from stored tables.
+
+    ``parts`` is the number of ranges that balls are written in; without it, that of the session's shuffles.
+    """
     run_id = uuid.uuid4().hex
     touch(spark, root, run_id, documents, changed)
-    write_silver(spark, documents, venues, teams, root, changed, run_id, stop_on_error)
+    write_silver(spark, documents, venues, teams, root, changed, run_id, stop_on_error, parts)
     conformed = stored(spark, root, "silver", silver.TABLES)
     return conformed | stored(spark, root, "gold", write_marts(spark, conformed, adjustments, root, run_id, stop_on_error))
 
