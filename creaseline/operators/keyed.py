@@ -5,11 +5,15 @@ Each is a composition of joins, windows and unions on the given key columns; not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Inputs above this have no known size.
 UNKNOWN = 2**50
+#: Spark sums sorted groups through a hash table, and sorts large groups once more, unless this is on.
+SORTED_GROUPS = "spark.sql.execution.replaceHashWithSortAgg"
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -28,10 +32,10 @@ def parts_for(df: DataFrame, part_bytes: int, least: int) -> int:
     return max(least, -(-(input_bytes(df) or 0) // part_bytes))
 
 
-def in_parts(df: DataFrame, key: str, part_bytes: int) -> DataFrame:
+def in_parts(df: DataFrame, key: str | Column, part_bytes: int) -> DataFrame:
     """Rows of a key in one part, of which there are more as the input grows, so that a task stays as large as it is.
 
-    Windows, groups and explodes by the key, or by it and more, then move nothing.
+    Windows, groups and explodes by the key, or by it and more, then move nothing.  A key that is computed need not move.
     """
     usual = usual_parts(df)
     parts = parts_for(df, part_bytes, usual)
@@ -39,6 +43,20 @@ def in_parts(df: DataFrame, key: str, part_bytes: int) -> DataFrame:
     return df.repartition(parts, key) if parts > usual else df.repartition(key)
 
 
+@contextmanager
+def sorted_groups(spark: SparkSession):
+    """Within, groups whose rows arrive in the order of their keys are summed one after the other, without a hash table.
+
+    Plans are made when a frame is run, so run it inside.
+    """
+    before = spark.conf.get(SORTED_GROUPS, "false")
+    spark.conf.set(SORTED_GROUPS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SORTED_GROUPS, before)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``."""
     ranked = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

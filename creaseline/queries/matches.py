@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creaseline import shaped
 from creaseline.functions import rules
-from creaseline.operators.keyed import in_parts, parts_for, reconcile, usual_parts
+from creaseline.operators.keyed import in_parts, parts_for, reconcile, sorted_groups, usual_parts
 from creaseline.plans import batch, marts, quality, serve, silver
 from creaseline.queries.flat import flat
 from creaseline.sources import colocated
@@ -38,7 +38,8 @@ class Data:
     @cached_property
     def documents(self) -> DataFrame:
         path = scratch_path(self.spark, "documents")
-        self.once.write.parquet(path)
+        with sorted_groups(self.spark):
+            self.once.write.parquet(path)
         return self.spark.read.schema(self.once.schema).parquet(path)
 
     @cached_property

@@ -14,6 +14,7 @@ from creaseline.operators.keyed import in_parts
 #: Bytes of lineitem and of document files that make a part, some 300,000 balls each.
 LINE_BYTES, DOCUMENT_BYTES = 4 << 20, 2 << 20
 # Fixed values of the shape.
+OVER_SIZE = "if(m % 50 = 7, 7, 6)"
 KINDS = ("bowled", "caught", "caught and bowled", "lbw", "stumped", "hit wicket", "run out", "retired hurt", "obstructing the field")
 #: All columns of lineitem: the only total order, since no smaller key is unique.
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -29,12 +30,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines move once, as they are, to their match; nothing that is built from them moves again.
     """
     match = "l_orderkey div 40"
-    raw = in_parts(table(spark, sf_dir, "lineitem").withColumn("match_id", F.expr(f"cast({match} as string)")), "match_id", LINE_BYTES).selectExpr(
-        "match_id", f"{match} as m", "l_partkey as pk", "l_suppkey as sk", "cast(l_quantity as bigint) as q", "l_returnflag as rf",
+    match_id = f"cast({match} as string)"
+    raw = in_parts(table(spark, sf_dir, "lineitem"), F.expr(match_id), LINE_BYTES).selectExpr(
+        f"{match_id} as match_id", f"{match} as m", "l_partkey as pk", "l_suppkey as sk", "cast(l_quantity as bigint) as q", "l_returnflag as rf",
         f"case when ({match}) % 37 = 5 and l_linenumber = 7 then 3 else 1 + (l_orderkey div 20) % 2 end as inn", *LINE_ORDER,
     )
     place = F.row_number().over(Window.partitionBy("match_id", "inn").orderBy(*LINE_ORDER)) - 1
-    size = F.when(F.col("m") % 50 == 7, 7).otherwise(6)
+    size = F.expr(OVER_SIZE)
     return raw.withColumn("at", place).select(
         "match_id", "m", "inn", "pk", "sk", "q", "rf", F.floor(F.col("at") / size).alias("over"), (F.col("at") % size + 1).alias("seq"),
         F.concat(F.lit("T"), F.expr("m % 8")).alias("t1"),
@@ -73,19 +75,21 @@ def _balls(rows: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per match, with ``match_id``; balls, overs and innings are nested in their order."""
-    overs = _balls(lines(spark, sf_dir)).groupBy("match_id", "m", "inn", "over", "t1", "t2", "bat").agg(
-        F.sum("total").alias("total"), F.sum(F.col("w1").cast("int") + F.col("w2").cast("int")).alias("out"),
-        F.sort_array(F.collect_list(F.struct("seq", "d"))).alias("ds"),
-    )
-    by_innings = overs.groupBy("match_id", "m", "inn", "t1", "t2", "bat").agg(
-        F.sum("total").alias("total"), F.sum("out").alias("out"),
-        F.sort_array(F.collect_list(F.struct(F.col("over").alias("over"), F.col("ds.d").alias("deliveries")))).alias("overs"),
+    """One document per match, with ``match_id``; balls, overs and innings are nested in their order.
+
+    Balls are collected once, by match; innings and overs, which lie one after the other there, are cut from that.
+    """
+    collected = _balls(lines(spark, sf_dir)).groupBy("match_id").agg(
+        *[F.first(c).alias(c) for c in ("m", "t1", "t2")],
+        F.sort_array(F.collect_list(F.struct("inn", "over", "seq", "bat", "d"))).alias("b"),
+        F.expr("sum(if(inn = 1, total, null)) + if(first(m) % 53 = 0, 5, 0) as r1"), F.expr("sum(if(inn = 2, total, null)) as r2"),
+        F.expr("sum(if(inn = 2, cast(w1 as int) + cast(w2 as int), null)) as w2"),
     )
-    penalty = "if(m % 53 = 0 and inn = 1, 5, 0)"
-    by_match = by_innings.withColumn("total", F.expr(f"total + {penalty}")).groupBy("match_id", "m", "t1", "t2").agg(
-        F.sort_array(F.collect_list(F.struct("inn", "bat", "total", "out", "overs"))).alias("i"),
-        F.max(F.expr("if(inn = 1, total, null)")).alias("r1"), F.max(F.expr("if(inn = 2, total, null)")).alias("r2"), F.max(F.expr("if(inn = 2, out, null)")).alias("w2"),
+    opened = "transform(filter(transform(array(1, 2, 3), n -> filter(b, x -> x.inn = n)), a -> size(a) > 0), a -> named_struct('inn', a[0].inn, 'bat', a[0].bat, 'ds', a.d))"
+    over = f"named_struct('over', o, 'deliveries', slice(x.ds, cast(o as int) * {OVER_SIZE} + 1, {OVER_SIZE}))"
+    overs = f"transform(sequence(0L, cast((size(x.ds) - 1) div {OVER_SIZE} as bigint)), o -> {over})"
+    by_match = collected.selectExpr("match_id", "m", "t1", "t2", "r1", "r2", "w2", f"{opened} as a").selectExpr(
+        "match_id", "m", "t1", "t2", "r1", "r2", "w2", f"transform(a, x -> named_struct('inn', x.inn, 'bat', x.bat, 'overs', {overs})) as i"
     )
     target = "case when x.inn = 2 and m % 9 = 0 then named_struct('overs', 15.0D, 'runs', 150L) when x.inn = 2 then named_struct('overs', 20.0D, 'runs', r1 + 1) end"
     innings = f"""transform(i, x -> named_struct(

@@ -63,3 +63,18 @@ def test_scores_read_no_raw_text(spark, tmp_path):
     live.ensure_tables(spark, str(tmp_path))
     assert set(live.events_stream(spark, str(tmp_path), live.SCORED).columns) == set(live.SCORED)
     assert not live.KEPT.useMemory
+
+
+def test_documents_are_nested_in_one_pass(spark, small):
+    """Lines are sorted once; a match's balls are collected as they come, without a hash table or another sort."""
+    assert plan(shaped.documents(spark, small)).count("ObjectHashAggregate") == 2
+    with keyed.sorted_groups(spark):
+        nested = plan(shaped.documents(spark, small))
+    assert "ObjectHashAggregate" not in nested and nested.count("Sort [") == 1 and nested.count("SortAggregate") == 1
+
+
+def test_venues_read_innings_once(data):
+    """Documents are read for matches, for heads of innings and for balls, and only sums of balls move."""
+    read = plan(matches.marts.venue_stats(data.matches, data.innings))
+    assert read.count("ReadSchema: struct<match_id") == 3
+    assert "Window" not in read
