@@ -58,13 +58,14 @@ def release(
 
 def write_silver(
     spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, root: str, changed: DataFrame | None = None, run_id: str = "",
-    stop_on_error: bool = True, parts: int | None = None,
+    stop_on_error: bool = True, parts: int | None = None, placed: bool = False,
 ) -> None:
     """Writes, audits and publishes the conformed tables; with ``changed`` (match_id) only rows of those matches are replaced.
 
     Matches come last: a run that breaks off leaves them pending, and the next run does them again.  The files of balls
     hold their wickets as well, so that wickets and innings read balls back instead of computing them again.  Documents
-    move to ranges of season and match (``parts`` of them), and their balls are written there.
+    move to ranges of season and match (``parts`` of them), and their balls are written there.  Documents that are read
+    from buckets of their match are ``placed`` and do not move: a bucket writes a file of balls for each of its seasons.
     """
 
     def put(name: str, frame: DataFrame, hidden: tuple[str, ...] = (), spread: bool = True) -> tables.Staged:
@@ -73,7 +74,8 @@ def write_silver(
             return tables.stage_overwrite(frame, path, split(name), counts, hidden, spread)
         return tables.stage_replace_ids(spark, frame, changed, path, "match_id", split(name), counts, hidden)
 
-    staged = {"deliveries": put("deliveries", silver.deliveries(silver.in_seasons(documents, parts)), ("_wickets",), spread=False)}
+    ranged = documents if placed else silver.in_seasons(documents, parts)
+    staged = {"deliveries": put("deliveries", silver.deliveries(ranged), ("_wickets",), spread=False)}
     ball = tables.written_rows(staged["deliveries"])
     if changed is not None:
         ball = ball.join(changed, "match_id", "left_semi")
@@ -82,7 +84,9 @@ def write_silver(
         "wickets": silver.wickets(ball), "innings": silver.innings(documents, ball), "substitutions": replaced,
         "match_players": silver.match_players(documents, replaced), "matches": silver.matches(documents, venues, teams),
     }
-    staged |= {name: put(name, frames[name]) for name in silver.TABLES if name in frames}
+    with colocated.by_part_of_keys(spark):
+        # Wickets are written where their balls are read.
+        staged |= {name: put(name, frames[name], spread=name != "wickets") for name in silver.TABLES if name in frames}
     release(spark, root, "silver", quality.CONFORMED, staged, {"venues": venues, "teams": teams}, run_id, stop_on_error)
 
 
@@ -136,14 +140,15 @@ def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame,
         # The conformed tables are split by season; folders of other seasons are not even listed.
         narrowed = {n: tables.read(spark, f"{root}/silver/{n}", only=seasons) for n in silver.TABLES}
 
-    def put(name: str, frame: DataFrame) -> tables.Staged:
+    def put(name: str, frame: DataFrame, spread: bool = True) -> tables.Staged:
         path, counts = f"{root}/gold/{name}", quality.counting(quality.MARTS, name)
         if seasons is None or name not in SEASONAL:
-            return tables.stage_overwrite(frame, path, split(name), counts)
+            return tables.stage_overwrite(frame, path, split(name), counts, spread=spread)
         return tables.stage_replace_partitions(spark, frame, seasons, path, split(name), counts)
 
     with colocated.by_part_of_keys(spark):
-        staged = {name: put(name, frame) for name, frame in marts.scorecards(narrowed, gathered=True).items()}
+        # Written where their sums were gathered: a part writes a file for each season.
+        staged = {name: put(name, frame, spread=False) for name, frame in marts.scorecards(narrowed, gathered=True).items()}
     cards = {name: tables.written_rows(s) for name, s in staged.items()}
     staged |= {name: put(name, frame) for name, frame in marts.by_season(narrowed, cards, adjustments).items()}
     staged |= {name: put(name, fold(tables.staged_rows(staged[source]))) for name, (source, fold) in marts.FOLDS.items()}
@@ -158,15 +163,16 @@ def write_marts(spark: SparkSession, conformed: Tables, adjustments: DataFrame,
 
 def build(
     spark: SparkSession, documents: DataFrame, venues: DataFrame, teams: DataFrame, adjustments: DataFrame, root: str,
-    changed: DataFrame | None = None, stop_on_error: bool = True, parts: int | None = None,
+    changed: DataFrame | None = None, stop_on_error: bool = True, parts: int | None = None, placed: bool = False,
 ) -> Tables:
     """Everything below ``root``; returns the stored tables of both layers.  Marts are built from stored tables.
 
-    ``parts`` is the number of ranges that balls are written in; without it, that of the session's shuffles.
+    ``parts`` is the number of ranges that balls are written in; without it, that of the session's shuffles.  Balls of
+    documents that are ``placed`` in buckets of their match are written by bucket instead.
     """
     run_id = uuid.uuid4().hex
     touch(spark, root, run_id, documents, changed)
-    write_silver(spark, documents, venues, teams, root, changed, run_id, stop_on_error, parts)
+    write_silver(spark, documents, venues, teams, root, changed, run_id, stop_on_error, parts, placed)
     conformed = stored(spark, root, "silver", silver.TABLES)
     return conformed | stored(spark, root, "gold", write_marts(spark, conformed, adjustments, root, run_id, stop_on_error))
 
