@@ -46,6 +46,15 @@ def to_parts(df: DataFrame, key: str | Column, parts: int) -> DataFrame:
     return df.repartition(parts, key) if parts > usual_parts(df) else df.repartition(key)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: it is sorted and merged with the other, never broadcast.
+
+    Spark broadcasts a side by the bytes of its files, of which a row of short, repeated values takes less than one; the
+    driver would then gather all rows.
+    """
+    return df.hint("merge")
+
+
 @contextmanager
 def sorted_groups(spark: SparkSession):
     """Within, groups whose rows arrive in the order of their keys are summed one after the other, without a hash table.
